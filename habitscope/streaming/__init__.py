@@ -1,0 +1,6 @@
+"""Intentionally empty: every job in scope is a batch job.
+
+The operators in ``habitscope.operators`` are plain DataFrame functions, so the
+stateless ones (casts, repairs, encoders, derived columns, segments) also accept
+a streaming DataFrame unchanged; there is no streaming job to offer on top.
+"""
