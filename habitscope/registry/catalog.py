@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from habitscope.sources.session import suit_wide_tables
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
-MODULES = ("q_reports",)
+MODULES = (
+    "q_sources", "q_clean", "q_encode", "q_derive", "q_relational", "q_reports", "q_explore",
+    "q_models",
+)
 
 
 def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -20,7 +26,12 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if key in _QUERIES:
             raise ValueError(f"duplicate key {key}")
-        _QUERIES[key] = function
+
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(suit_wide_tables(spark), sf_dir)
+
+        _QUERIES[key] = run
         if oracle is not None:
             _ORACLES[key] = oracle
         return function
