@@ -37,14 +37,14 @@ def e2(spark, sf_dir):
 
 def rank_ctes(columns, source: str) -> str:
     return "".join(
-        f", rank_{c} AS (SELECT {c} AS label, (ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) - 1)"
+        f", rank_{c} AS (SELECT {c} AS category, (ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) - 1)"
         f"::DOUBLE AS idx FROM {source} WHERE {c} IS NOT NULL GROUP BY {c})" for c in columns
     )
 
 
 @query("e3_frequency_index_keep", USERS_SQL + rank_ctes(V.NOMINAL_COLUMNS, "users")
        + " SELECT users.*, " + ", ".join(
-    f"COALESCE((SELECT idx FROM rank_{c} WHERE label = {c}), (SELECT COUNT(*) FROM rank_{c})::DOUBLE)"
+    f"COALESCE((SELECT idx FROM rank_{c} WHERE category = {c}), (SELECT COUNT(*) FROM rank_{c})::DOUBLE)"
     f" AS {c}_idx" for c in V.NOMINAL_COLUMNS) + " FROM users")
 def e3(spark, sf_dir):
     """The complete 80-column clean table."""
@@ -56,8 +56,8 @@ def e3(spark, sf_dir):
        + rank_ctes(V.REGRESSION_CATEGORIES, "train") + """
 SELECT user_id, employment_status, urban_rural, a.idx AS employment_status_index,
   b.idx AS urban_rural_index
-FROM r JOIN rank_employment_status a ON employment_status = a.label
-JOIN rank_urban_rural b ON urban_rural = b.label WHERE NOT is_train""")
+FROM r JOIN rank_employment_status a ON employment_status = a.category
+JOIN rank_urban_rural b ON urban_rural = b.category WHERE NOT is_train""")
 def e4(spark, sf_dir):
     """Indexed by the training part's frequencies; rows without a known label go."""
     users = clean_users(spark, sf_dir).select("user_id", *V.REGRESSION_CATEGORIES)
@@ -164,8 +164,8 @@ VECTORS_SQL = (
     + ", ".join(f"CASE WHEN a.idx = {i} THEN 1.0 ELSE 0.0 END::DOUBLE AS x_{11 + i}" for i in range(3))
     + ", "
     + ", ".join(f"CASE WHEN b.idx = {i} THEN 1.0 ELSE 0.0 END::DOUBLE AS x_{14 + i}" for i in range(2))
-    + " FROM features JOIN rank_employment_status a ON employment_status = a.label"
-    + " JOIN rank_urban_rural b ON urban_rural = b.label), sd AS (SELECT "
+    + " FROM features JOIN rank_employment_status a ON employment_status = a.category"
+    + " JOIN rank_urban_rural b ON urban_rural = b.category), sd AS (SELECT "
     + ", ".join(f"STDDEV_SAMP(x_{i}) AS sd_{i}" for i in range(16))
     + " FROM raw_vectors WHERE is_train)"
 )
