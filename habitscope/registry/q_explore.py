@@ -1,0 +1,170 @@
+"""M*: samples, splits, histogram, correlations, clustering."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from habitscope.operators import cluster, explore
+from habitscope.plans import clustering
+from habitscope.plans import fixed_values as V
+from habitscope.registry.catalog import query
+from habitscope.registry.dataset import USERS_SQL, bucket_fraction, clean_users, half_up, table
+from habitscope.registry.q_derive import CLUSTER_SQL
+from habitscope.sources.tables import kept_in_memory
+
+# -- samples and splits ------------------------------------------------------------------
+
+
+@query("m1_sample_by_key", f"""
+SELECT o_orderkey, o_totalprice FROM orders WHERE {bucket_fraction("o_orderkey")} < 0.05""")
+def m1(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return explore.sample_by_key(orders, ["o_orderkey"], 0.05)
+
+
+@query("m1_sample_rows")
+def m1_rows(spark, sf_dir):
+    return explore.sample_rows(table(spark, sf_dir, "orders"), 0.05)
+
+
+@query("m2_split_by_key", f"""
+SELECT o_orderkey, CASE WHEN {bucket_fraction("o_orderkey")} < 0.7 THEN 'train' ELSE 'test' END
+  AS part FROM orders""")
+def m2(spark, sf_dir):
+    train, test = explore.split_by_key(
+        table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+    return train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test")))
+
+
+@query("m2_split_rows")
+def m2_rows(spark, sf_dir):
+    train, test = explore.split_rows(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test")))
+
+
+@query("m3_histogram", USERS_SQL + """
+SELECT CAST(FLOOR(perceived_stress_score / 2.0::DOUBLE) AS BIGINT) AS bin, COUNT(*) AS rows,
+  CAST(FLOOR(perceived_stress_score / 2.0::DOUBLE) AS BIGINT) * 2.0::DOUBLE AS bin_start
+FROM users WHERE perceived_stress_score IS NOT NULL GROUP BY 1, 3""")
+def m3(spark, sf_dir):
+    return explore.histogram(clean_users(spark, sf_dir), V.REGRESSION_LABEL, width=2.0)
+
+
+@query("m3_histogram_prices", """
+SELECT CAST(FLOOR((l_extendedprice - 900) / 2500.0::DOUBLE) AS BIGINT) AS bin, COUNT(*) AS rows,
+  CAST(FLOOR((l_extendedprice - 900) / 2500.0::DOUBLE) AS BIGINT) * 2500.0::DOUBLE + 900 AS bin_start
+FROM lineitem GROUP BY 1, 3""")
+def m3_prices(spark, sf_dir):
+    return explore.histogram(
+        table(spark, sf_dir, "lineitem"), "l_extendedprice", width=2500.0, start=900.0)
+
+
+NUMBERS = [*V.REGRESSION_INPUTS, V.REGRESSION_LABEL]
+
+
+@query("m4_correlations", USERS_SQL + ", pairs AS (SELECT " + ", ".join(
+    f"CORR({a}, {b}) AS r_{i}_{j}" for i, a in enumerate(NUMBERS) for j, b in enumerate(NUMBERS)
+) + " FROM users) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {half_up(f'r_{i}_{j}', 6)} AS r FROM pairs"
+    for i, a in enumerate(NUMBERS) for j, b in enumerate(NUMBERS)))
+def m4(spark, sf_dir):
+    return explore.correlations(clean_users(spark, sf_dir), NUMBERS, digits=6)
+
+
+# -- clustering -------------------------------------------------------------------------------
+
+
+@query("m5_elbow")
+def m5(spark, sf_dir):
+    with kept_in_memory(clustering.cluster_features(clean_users(spark, sf_dir))) as features:
+        return cluster.elbow(features, V.CLUSTER_FEATURES)
+
+
+def clustered(spark, sf_dir):
+    with kept_in_memory(clustering.cluster_features(clean_users(spark, sf_dir))) as features:
+        model = clustering.fit(features)
+        return clustering.clustered(features, model)
+
+
+@query("m6_kmeans")
+def m6(spark, sf_dir):
+    return clustered(spark, sf_dir).select("user_id", "Cluster")
+
+
+@query("m8_cluster_sizes")
+def m8(spark, sf_dir):
+    return cluster.cluster_sizes(clustered(spark, sf_dir))
+
+
+@query("m9_two_components")
+def m9(spark, sf_dir):
+    with kept_in_memory(clustering.cluster_features(clean_users(spark, sf_dir))) as features:
+        return cluster.project_2d(features, V.CLUSTER_FEATURES, ["user_id"])
+
+
+@query("m10_radar_profile")
+def m10(spark, sf_dir):
+    return clustering.radar_profile(clustered(spark, sf_dir))
+
+
+# With two standardised measures the components are known: variances 1 + |r| and
+# 1 - |r|, directions (1, +-1)/sqrt(2). Scores are compared by size.
+@query("m9_two_components_of_two", f"""
+WITH m AS (SELECT AVG(l_quantity) AS qm, STDDEV_SAMP(l_quantity) AS qs, AVG(l_extendedprice) AS pm,
+  STDDEV_SAMP(l_extendedprice) AS ps, CORR(l_quantity, l_extendedprice) AS r FROM lineitem),
+z AS (SELECT l_orderkey, l_linenumber, r, (l_quantity - qm) / qs AS a,
+  SIGN(r) * (l_extendedprice - pm) / ps AS b FROM lineitem, m)
+SELECT l_orderkey, l_linenumber, {half_up("ABS(a + b) / SQRT(2)", 5)} AS size_1,
+  {half_up("ABS(a - b) / SQRT(2)", 5)} AS size_2, {half_up("(1 + ABS(r)) / 2", 6)} AS share_1,
+  {half_up("(1 - ABS(r)) / 2", 6)} AS share_2 FROM z""")
+def m9_two(spark, sf_dir):
+    parts = cluster.project_2d(
+        table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"],
+        ["l_orderkey", "l_linenumber"])
+    return parts.select(
+        "l_orderkey", "l_linenumber",
+        F.round(F.abs("PC1"), 5).alias("size_1"), F.round(F.abs("PC2"), 5).alias("size_2"),
+        F.round("PC1_variance", 6).alias("share_1"), F.round("PC2_variance", 6).alias("share_2"))
+
+
+AXES = ["daily_active_minutes_instagram", "reels_watched_per_day", "followers_count"]
+CENTRES = [(90.0, 5.0, 500.0), (150.0, 15.0, 1500.0), (250.0, 20.0, 2500.0), (120.0, 10.0, 42000.0)]
+NEAREST_SQL = CLUSTER_SQL + ", inputs2 AS (SELECT inputs.*, " + ", ".join(
+    "(" + " + ".join(f"({a} - {v}) * ({a} - {v})" for a, v in zip(AXES, centre)) + f") AS d{i}"
+    for i, centre in enumerate(CENTRES)
+) + """ FROM inputs), assigned AS (SELECT *, CASE
+  WHEN d0 <= d1 AND d0 <= d2 AND d0 <= d3 THEN 0 WHEN d1 <= d2 AND d1 <= d3 THEN 1
+  WHEN d2 <= d3 THEN 2 ELSE 3 END AS Cluster FROM inputs2)"""
+
+
+def assigned(spark, sf_dir):
+    inputs = clustering.numeric_inputs(clean_users(spark, sf_dir))
+    return cluster.assign_nearest(inputs, AXES, CENTRES)
+
+
+@query("m7_nearest_centre", NEAREST_SQL + " SELECT user_id, Cluster FROM assigned")
+def m7(spark, sf_dir):
+    return assigned(spark, sf_dir).select("user_id", "Cluster")
+
+
+@query("a10_group_size", NEAREST_SQL + " SELECT Cluster, COUNT(*) AS count FROM assigned GROUP BY 1")
+def a10(spark, sf_dir):
+    return cluster.cluster_sizes(assigned(spark, sf_dir))
+
+
+@query("a11_group_means", NEAREST_SQL + " SELECT Cluster, " + ", ".join(
+    f"{half_up(f'AVG({a})', 6)} AS {a}" for a in AXES) + " FROM assigned GROUP BY 1")
+def a11(spark, sf_dir):
+    means = cluster.group_means(assigned(spark, sf_dir), "Cluster", AXES)
+    return means.withColumns({a: F.round(a, 6) for a in AXES})
+
+
+@query("a12_spread_across_groups", NEAREST_SQL + ", p AS (SELECT Cluster, " + ", ".join(
+    f"AVG({a}) AS {a}" for a in AXES) + " FROM assigned GROUP BY 1) SELECT Cluster, " + ", ".join(
+    half_up(f"({a} - MIN({a}) OVER ()) / (MAX({a}) OVER () - MIN({a}) OVER () + 1e-5)", 6) + f" AS {a}"
+    for a in AXES) + " FROM p")
+def a12(spark, sf_dir):
+    means = cluster.group_means(assigned(spark, sf_dir), "Cluster", AXES)
+    return cluster.spread_across_groups(means, AXES).withColumns({a: F.round(a, 6) for a in AXES})

@@ -1,0 +1,233 @@
+"""R*: regressors, scoring, metrics, leaderboard, explanation."""
+
+from __future__ import annotations
+
+from pyspark.ml.regression import LinearRegressionModel
+from pyspark.sql import DataFrame, functions as F
+
+from habitscope.operators import encode, evaluate, explain, regress
+from habitscope.plans import fixed_values as V
+from habitscope.plans import regression
+from habitscope.registry.catalog import query
+from habitscope.registry.dataset import clean_users, half_up, table
+from habitscope.registry.q_encode import REGRESSION_SQL
+
+# -- linear fits with a closed form ------------------------------------------------------
+
+
+def line_vectors(spark, sf_dir, *features: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_extendedprice", *features)
+    return encode.assemble(lines, features, "features")
+
+
+def coefficients(spark, model: LinearRegressionModel, names, **extra) -> DataFrame:
+    """The fitted parameters as rows: a handful of numbers from the model."""
+    rows = [(n, float(v)) for n, v in zip(names, model.coefficients)]
+    rows.append(("intercept", float(model.intercept)))
+    out = spark.createDataFrame(rows, "term string, value double")
+    return out.withColumns({k: F.lit(v) for k, v in extra.items()})
+
+
+MOMENTS = """WITH m AS (SELECT COUNT(*)::DOUBLE AS n, AVG(l_extendedprice) AS my,
+  AVG(l_quantity) AS m1, AVG(l_linenumber) AS m2, VAR_POP(l_quantity) AS v1,
+  VAR_POP(l_linenumber) AS v2, COVAR_POP(l_quantity, l_linenumber) AS c12,
+  COVAR_POP(l_quantity, l_extendedprice) AS c1, COVAR_POP(l_linenumber, l_extendedprice) AS c2
+  FROM lineitem)"""
+
+
+@query("r1_least_squares", MOMENTS + """, w AS (
+  SELECT *, (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS w1,
+    (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS w2 FROM m)
+SELECT 'l_quantity' AS term, """ + half_up("w1", 4) + """ AS value FROM w
+UNION ALL SELECT 'l_linenumber', """ + half_up("w2", 4) + """ FROM w
+UNION ALL SELECT 'intercept', """ + half_up("my - w1 * m1 - w2 * m2", 3) + " FROM w")
+def r1(spark, sf_dir):
+    names = ["l_quantity", "l_linenumber"]
+    model = regress.ols("features", "l_extendedprice").fit(line_vectors(spark, sf_dir, *names))
+    out = coefficients(spark, model, names)
+    digits = F.when(F.col("term") == "intercept", F.round("value", 3)).otherwise(F.round("value", 4))
+    return out.withColumn("value", digits)
+
+
+RIDGE_ALPHAS = [1.0, 1000.0, 50000.0]
+
+
+@query("r2_ridge", MOMENTS + " SELECT a AS alpha, " + half_up("n * c1 / (n * v1 + a)", 4) + """ AS slope
+FROM m, (SELECT UNNEST([1.0::DOUBLE, 1000.0::DOUBLE, 50000.0::DOUBLE]) AS a)""")
+def r2(spark, sf_dir):
+    data = line_vectors(spark, sf_dir, "l_quantity").persist()
+    slopes = [
+        (a, float(regress.ridge(data, "features", "l_extendedprice", alpha=a).fit(data).coefficients[0]))
+        for a in RIDGE_ALPHAS
+    ]
+    data.unpersist()
+    return spark.createDataFrame(slopes, "alpha double, slope double").withColumn(
+        "slope", F.round("slope", 4))
+
+
+LASSO_ALPHAS = [0.1, 100.0, 500.0]
+
+
+@query("r3_lasso", MOMENTS + " SELECT a AS alpha, "
+       + half_up("SIGN(c1) * GREATEST(ABS(c1) - a, 0) / v1", 4) + """ AS slope
+FROM m, (SELECT UNNEST([0.1::DOUBLE, 100.0::DOUBLE, 500.0::DOUBLE]) AS a)""")
+def r3(spark, sf_dir):
+    data = line_vectors(spark, sf_dir, "l_quantity").persist()
+    slopes = [
+        (a, float(regress.lasso("features", "l_extendedprice", alpha=a).fit(data).coefficients[0]))
+        for a in LASSO_ALPHAS
+    ]
+    data.unpersist()
+    return spark.createDataFrame(slopes, "alpha double, slope double").withColumn(
+        "slope", F.round("slope", 4))
+
+
+# -- the line-up on the stress score --------------------------------------------------------
+
+
+def fitted(spark, sf_dir, *names: str):
+    """(vectors, models) for the named members of the line-up."""
+    v = regression.vectors(clean_users(spark, sf_dir))
+    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label")
+    return v, regress.fit_all(v.train, {n: line_up[n] for n in names})
+
+
+def prediction_query(key: str, name: str):
+    """Held-out predictions of one model, trained at its full settings."""
+    @query(key)
+    def run(spark, sf_dir):
+        v, models = fitted(spark, sf_dir, name)
+        return regress.predict_all(models, v.test, ["user_id", "label"])
+    return run
+
+
+prediction_query("r4_random_forest", "Random Forest")
+prediction_query("r5_gradient_boosting", "Gradient Boosting")
+prediction_query("r6_histogram_boosting", "Histogram Boosting")
+prediction_query("r7_leafwise_boosting", "Leafwise Boosting")
+
+
+@query("r8_held_out_scores")
+def r8(spark, sf_dir):
+    v, models = fitted(
+        spark, sf_dir, "Linear Regression", "Ridge Regression", "Lasso Regression")
+    return regress.predict_all(models, v.test, ["user_id", "label"])
+
+
+WEIGHTS = {"daily_active_minutes_instagram": 0.03, "sessions_per_day": 1.25, "age": -0.05}
+INTERCEPT = 2.5
+SCORE_SQL = f"{INTERCEPT}::DOUBLE" + "".join(
+    f" + {name} * ({w})::DOUBLE" for name, w in WEIGHTS.items())
+SCORED_SQL = REGRESSION_SQL + f", scored AS (SELECT *, {SCORE_SQL} AS prediction FROM features)"
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    train, test = regression.prepared(*regression.split(clean_users(spark, sf_dir)))
+    both = train.unionByName(test).withColumnRenamed(V.REGRESSION_LABEL, "label")
+    return regress.linear_score(both, WEIGHTS, INTERCEPT)
+
+
+@query("r8_score_given_weights", SCORED_SQL + f"""
+SELECT user_id, label, {half_up("prediction", 6)} AS prediction FROM scored""")
+def r8_given(spark, sf_dir):
+    return scored(spark, sf_dir).select(
+        "user_id", "label", F.round("prediction", 6).alias("prediction"))
+
+
+# -- metrics on given predictions -------------------------------------------------------------
+
+RMSE = "SQRT(AVG((label - prediction) * (label - prediction)))"
+MAE = "AVG(ABS(label - prediction))"
+MAPE = "AVG(ABS((label - prediction) / NULLIF(label, 0))) * 100"
+R2 = "1 - SUM((label - prediction) * (label - prediction)) / NULLIF(COUNT(*) * VAR_POP(label), 0)"
+
+
+def metric_query(key: str, name: str, text: str, metric):
+    """One metric of the given linear score; labels of zero occur."""
+    @query(key, SCORED_SQL + f" SELECT {half_up(text, 6)} AS {name} FROM scored")
+    def run(spark, sf_dir):
+        return scored(spark, sf_dir).agg(F.round(metric("label", "prediction"), 6).alias(name))
+    return run
+
+
+metric_query("r9_rmse", "rmse", RMSE, evaluate.rmse)
+metric_query("r10_mae", "mae", MAE, evaluate.mae)
+metric_query("r11_mape", "mape_pct", MAPE, evaluate.mape)
+metric_query("r12_r_squared", "r2", R2, evaluate.r_squared)
+
+GIVEN = {"half": "l_discount / 2", "tax": "l_tax", "flat": "0.05"}
+GIVEN_SQL = "WITH p AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS model, l_discount AS label, ({text})::DOUBLE AS prediction FROM lineitem"
+    for name, text in GIVEN.items()) + ")"
+METRICS_SQL = GIVEN_SQL + f""", b AS (SELECT model, {half_up(RMSE, 6)} AS rmse,
+  {half_up(MAE, 6)} AS mae, {half_up(MAPE, 6)} AS mape_pct, {half_up(R2, 6)} AS r2
+  FROM p GROUP BY model)"""
+
+
+def given_metrics(spark, sf_dir) -> DataFrame:
+    cells = F.array(*[
+        F.struct(F.lit(n).alias("model"), F.expr(t).cast("double").alias("prediction"))
+        for n, t in GIVEN.items()])
+    long = table(spark, sf_dir, "lineitem").select(
+        F.col("l_discount").alias("label"), F.explode(cells).alias("cell")
+    ).select("label", "cell.*")
+    metrics = evaluate.metrics_by_model(long)
+    return metrics.withColumns({c: F.round(c, 6) for c in ("rmse", "mae", "mape_pct", "r2")})
+
+
+@query("r13_metrics_by_model", METRICS_SQL + " SELECT * FROM b")
+def r13(spark, sf_dir):
+    return given_metrics(spark, sf_dir)
+
+
+@query("r14_leaderboard", METRICS_SQL + " SELECT *, ROW_NUMBER() OVER (ORDER BY rmse, model) AS place FROM b")
+def r14(spark, sf_dir):
+    return evaluate.leaderboard(given_metrics(spark, sf_dir))
+
+
+@query("r14_seven_models")
+def r14_seven(spark, sf_dir):
+    """The whole bake-off: seven models at full settings on the held-out users."""
+    v = regression.vectors(clean_users(spark, sf_dir))
+    return regression.bake_off(v, regression.fit_models(v))
+
+
+# -- explanation ----------------------------------------------------------------------------------
+
+CONTRIBUTIONS_SQL = REGRESSION_SQL + ", c AS (" + " UNION ALL ".join(
+    f"SELECT user_id, '{name}' AS feature, {name} AS value,"
+    f" ({w})::DOUBLE * ({name} - AVG({name}) OVER ()) AS contribution FROM features"
+    for name, w in WEIGHTS.items()) + ")"
+
+
+def contributions(spark, sf_dir) -> DataFrame:
+    train, test = regression.prepared(*regression.split(clean_users(spark, sf_dir)))
+    return explain.linear_contributions(train.unionByName(test), WEIGHTS, ["user_id"])
+
+
+@query("r15_mean_abs_contribution", CONTRIBUTIONS_SQL + f"""
+SELECT feature, {half_up("AVG(ABS(contribution))", 6)} AS importance FROM c GROUP BY 1""")
+def r15(spark, sf_dir):
+    importance = explain.mean_abs_contribution(contributions(spark, sf_dir))
+    return importance.withColumn("importance", F.round("importance", 6))
+
+
+@query("r15_tree_importances")
+def r15_tree(spark, sf_dir):
+    v, models = fitted(spark, sf_dir, "Random Forest")
+    return explain.tree_importances(v.train, models["Random Forest"], v.names())
+
+
+@query("r15_permutation_importance")
+def r15_permutation(spark, sf_dir):
+    v, models = fitted(spark, sf_dir, "Random Forest")
+    return explain.permutation_importance(
+        v.test, models["Random Forest"], v.names(), "label", ["user_id"])
+
+
+@query("r16_contributions", CONTRIBUTIONS_SQL + f"""
+SELECT user_id, feature, {half_up("value", 6)} AS value, {half_up("contribution", 6)} AS contribution
+FROM c""")
+def r16(spark, sf_dir):
+    return contributions(spark, sf_dir).withColumns(
+        {c: F.round(c, 6) for c in ("value", "contribution")})
