@@ -25,14 +25,15 @@ def keep_one_per_key(
     the table costs no more than any other. ``copies`` names an optional column
     with the number of rows seen for the key.
     """
-    others = [c for c in df.columns if c not in keys]
+    columns = df.columns
+    others = [c for c in columns if c not in keys]
     marks = [p.alias(f"prefer_{i}") for i, p in enumerate(prefer)]
     aggregates = [F.max(F.struct(*marks, *others)).alias("kept")]
     if copies:
         aggregates.append(F.count(F.lit(1)).alias(copies))
     kept = df.groupBy(*keys).agg(*aggregates)
-    columns = [F.col(c) if c in keys else F.col("kept").getField(c).alias(c) for c in df.columns]
-    return kept.select(*columns, *([copies] if copies else []))
+    names = [f"kept.{c}" if c in others else c for c in columns]
+    return kept.select(*names, *([copies] if copies else []))
 
 
 def is_complete(required: Sequence[str]) -> Column:

@@ -48,8 +48,8 @@ def boosted_trees(
     features: str, label: str, rounds: int = 100, depth: int = 5, rate: float = 0.1,
     bins: int = 32, min_rows: int = 1, seed: int = 42,
 ):
-    """Boosted trees. Node ids are cached, and checkpointed every 10 rounds when
-    the session names a checkpoint folder, so a lost executor costs few rounds."""
+    """Boosted trees. With a checkpoint folder set on the session the running
+    residuals are checkpointed every 10 rounds, so a lost executor costs few rounds."""
     return GBTRegressor(
         featuresCol=features, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate,
         maxBins=bins, minInstancesPerNode=min_rows, seed=seed, checkpointInterval=10,
@@ -57,7 +57,8 @@ def boosted_trees(
 
 
 def seven_regressors(
-    train: DataFrame, features: str, label: str, trees: int = 100, seed: int = 42
+    train: DataFrame, features: str, label: str, trees: int = 100, rounds: int = 100,
+    seed: int = 42,
 ) -> dict[str, Estimator]:
     """The model line-up. The two histogram boosters differ from plain boosting in
     depth, number of bins and smallest leaf."""
@@ -66,10 +67,10 @@ def seven_regressors(
         "Ridge Regression": ridge(train, features, label),
         "Lasso Regression": lasso(features, label),
         "Random Forest": random_forest(features, label, trees=trees, seed=seed),
-        "Gradient Boosting": boosted_trees(features, label, trees, depth=5, seed=seed),
-        "Histogram Boosting": boosted_trees(features, label, trees, depth=6, bins=256, seed=seed),
+        "Gradient Boosting": boosted_trees(features, label, rounds, depth=5, seed=seed),
+        "Histogram Boosting": boosted_trees(features, label, rounds, depth=6, bins=256, seed=seed),
         "Leafwise Boosting": boosted_trees(
-            features, label, trees, depth=6, bins=255, min_rows=20, seed=seed
+            features, label, rounds, depth=6, bins=255, min_rows=20, seed=seed
         ),
     }
 

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from habitscope.functions import columns as C
 from habitscope.operators import clean, cluster
 from habitscope.plans import fixed_values as V
+from habitscope.sources.scratch import settled
 
 
 def numeric_inputs(users: DataFrame) -> DataFrame:
     """Clustering inputs as double (they may come from an all-text file), NULLs
-    filled with the column mean."""
-    cast = clean.cast_and_move_last(users, {c: "double" for c in V.CLUSTER_INPUTS})
-    return clean.impute_means(cast, V.CLUSTER_INPUTS)
+    filled with the column mean. Settled first: the means and the fill read it."""
+    inputs = users.select(V.KEY, *V.CLUSTER_INPUTS)
+    cast = clean.cast_and_move_last(inputs, {c: "double" for c in V.CLUSTER_INPUTS})
+    return clean.impute_means(settled(cast, "cluster-inputs"), V.CLUSTER_INPUTS)
 
 
 def wellness() -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from habitscope.functions import columns as C
 from habitscope.operators import clean, encode, evaluate, explore, regress
 from habitscope.plans import fixed_values as V
-from habitscope.sources.scratch import use_checkpoints
+from habitscope.sources.scratch import settled, use_checkpoints
 
 NUMBERS = [*V.REGRESSION_INPUTS, V.REGRESSION_LABEL]
 FEATURES, LABEL = "features", V.REGRESSION_LABEL
@@ -23,8 +23,11 @@ def numeric_inputs(users: DataFrame) -> DataFrame:
 
 
 def split(users: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """70 / 30 by user id."""
-    train, test = explore.split_by_key(numeric_inputs(users), [V.KEY], (0.7, 0.3), seed)
+    """70 / 30 by user id. The inputs are settled with their side, since both parts
+    and every training statistic are read from them."""
+    side = explore.side_of_split([V.KEY], (0.7, 0.3), seed)
+    sides = settled(numeric_inputs(users).withColumn("side", side), "regression-inputs")
+    train, test = (sides.filter(F.col("side") == i).drop("side") for i in (0, 1))
     return train, test
 
 
@@ -82,25 +85,27 @@ class Vectors:
 
 
 def vectors(users: DataFrame, seed: int = 42) -> Vectors:
-    """Encode and scale with stages fitted on the training rows; both parts are
-    persisted because every model reads them many times."""
+    """Encode and scale with stages fitted on the training rows. Both parts are
+    settled and kept in memory, because every model reads them many times."""
     train, test = prepared(*split(users, seed))
-    train = train.persist()
     stages = Pipeline(
         stages=encode.feature_stages(V.REGRESSION_FEATURES, V.REGRESSION_CATEGORIES, FEATURES)
     ).fit(train)
-    ready = [
-        stages.transform(part).select(V.KEY, F.col(LABEL).alias("label"), FEATURES).persist()
-        for part in (train, test)
-    ]
-    ready[0].count()
-    train.unpersist()
-    return Vectors(ready[0], ready[1], stages)
+    train, test = (
+        settled(
+            stages.transform(part).select(V.KEY, F.col(LABEL).alias("label"), FEATURES), name
+        ).persist()
+        for part, name in ((train, "train-vectors"), (test, "test-vectors"))
+    )
+    return Vectors(train, test, stages)
 
 
-def fit_models(v: Vectors, trees: int = 100, seed: int = 42) -> dict[str, Model]:
+def fit_models(
+    v: Vectors, trees: int = 100, rounds: int = 100, seed: int = 42
+) -> dict[str, Model]:
     use_checkpoints(v.train.sparkSession)
-    return regress.fit_all(v.train, regress.seven_regressors(v.train, FEATURES, "label", trees, seed))
+    line_up = regress.seven_regressors(v.train, FEATURES, "label", trees, rounds, seed)
+    return regress.fit_all(v.train, line_up)
 
 
 def bake_off(v: Vectors, models: dict[str, Model]) -> DataFrame:

@@ -11,7 +11,7 @@ from habitscope.functions import columns as C
 from habitscope.operators import clean, encode
 from habitscope.plans import fixed_values as V
 from habitscope.sources import tables
-from habitscope.sources.scratch import new_scratch_path
+from habitscope.sources.scratch import settled
 
 RAW_TEXT = [*V.FLAG_CODES, *V.ORDINAL_CODES, *V.NOMINAL_COLUMNS, V.DATE_COLUMN]
 
@@ -74,8 +74,10 @@ def clean_users(raw: DataFrame, prefer: Sequence[Column] = ()) -> DataFrame:
 
 
 def clean_and_indexed_users(raw: DataFrame, prefer: Sequence[Column] = ()) -> DataFrame:
-    """The full 80-column table. Indexing needs the label counts first."""
-    return encode.frequency_index(clean_users(raw, prefer), V.NOMINAL_COLUMNS, invalid="keep")
+    """The full 80-column table. The clean rows are settled, because the label
+    counts are needed before the first row can be indexed."""
+    users = settled(clean_users(raw, prefer), "users-clean")
+    return encode.frequency_index(users, V.NOMINAL_COLUMNS, invalid="keep")
 
 
 def users_by_gender(users: DataFrame) -> DataFrame:
@@ -128,10 +130,7 @@ def run_cleaning(raw: DataFrame, output: str, fmt: str = "parquet",
     final write each read just the columns they need from there. It also ends the
     lineage, so a lost executor never sends the job back to the raw file.
     """
-    spark = raw.sparkSession
-    stage = new_scratch_path(spark, "users-typed")
-    tables.write_parquet(typed(one_record_per_user(raw, prefer, copies="copies")), stage)
-    seen = tables.read_parquet(spark, stage)
+    seen = settled(typed(one_record_per_user(raw, prefer, copies="copies")), "users-typed")
     counts = count_stages(seen).first().asDict()
     users = accepted(clean.require_columns(seen.drop("copies"), V.REQUIRED))
     out = encode.frequency_index(with_derived(encoded(users)), V.NOMINAL_COLUMNS, invalid="keep")

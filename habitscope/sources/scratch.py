@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
 
@@ -29,6 +29,18 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    What follows starts from a plain file scan: nothing upstream is computed twice,
+    a lost executor costs only its own files' rows, and the many small jobs of an
+    iterative fit do not ship a long plan with every task.
+    """
+    path = new_scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Point iterative fits at the shared folder, unless the session already did."""
     context = spark.sparkContext
