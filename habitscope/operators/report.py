@@ -53,9 +53,10 @@ def rank_everywhere(df: DataFrame, value: str, name: str, buckets: int = 256) ->
     steps = [i / buckets for i in range(1, buckets)]
     cuts = counts.agg(F.percentile_approx(v, steps).alias("cuts"))
     higher_cuts = F.size(F.filter(stat("cuts"), lambda cut: cut > v))
-    bucketed = attach_one_row(counts, cuts).select(
-        value, "n", F.when(v.isNull(), F.lit(buckets)).otherwise(higher_cuts).alias("bucket")
-    )
+    # Never NULL, and visibly so: otherwise the join below makes Spark test the
+    # bucket of every input row instead of every distinct value.
+    bucket = F.coalesce(F.when(v.isNotNull(), higher_cuts), F.lit(buckets))
+    bucketed = attach_one_row(counts, cuts).select(value, "n", bucket.alias("bucket"))
     before = Window.partitionBy("bucket").orderBy(v.desc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
     )
