@@ -27,7 +27,10 @@ def elbow(
     df: DataFrame, features: Sequence[str], ks: Iterable[int] = range(2, 7),
     max_iter: int = 10, seed: int = 42,
 ) -> DataFrame:
-    """(k, cost) per candidate k. Vectors are assembled and scaled once, then kept."""
+    """(k, cost) per candidate k. Vectors are assembled and scaled once, then kept.
+
+    All rows are used; to choose k on a sample, pass one (``sample_by_key``).
+    """
     scaled = Pipeline(stages=scaling_stages(features)).fit(df).transform(df)
     scaled = scaled.select("scaled_features").persist()
     costs = []

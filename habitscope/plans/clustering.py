@@ -57,6 +57,11 @@ def cluster_features(users: DataFrame) -> DataFrame:
     return with_features(numeric_inputs(users)).select(V.KEY, *V.CLUSTER_FEATURES)
 
 
+def prepared(users: DataFrame) -> DataFrame:
+    """The features settled once more: fitting runs many small jobs over them."""
+    return settled(cluster_features(users), "cluster-features")
+
+
 def fit(features: DataFrame, k: int = V.CLUSTERS) -> PipelineModel:
     return cluster.fit_clusters(features, V.CLUSTER_FEATURES, k=k)
 

@@ -78,12 +78,12 @@ def m4(spark, sf_dir):
 
 @query("m5_elbow")
 def m5(spark, sf_dir):
-    with kept_in_memory(clustering.cluster_features(clean_users(spark, sf_dir))) as features:
+    with kept_in_memory(clustering.prepared(clean_users(spark, sf_dir))) as features:
         return cluster.elbow(features, V.CLUSTER_FEATURES)
 
 
 def clustered(spark, sf_dir):
-    with kept_in_memory(clustering.cluster_features(clean_users(spark, sf_dir))) as features:
+    with kept_in_memory(clustering.prepared(clean_users(spark, sf_dir))) as features:
         model = clustering.fit(features)
         return clustering.clustered(features, model)
 
@@ -100,7 +100,7 @@ def m8(spark, sf_dir):
 
 @query("m9_two_components")
 def m9(spark, sf_dir):
-    with kept_in_memory(clustering.cluster_features(clean_users(spark, sf_dir))) as features:
+    with kept_in_memory(clustering.prepared(clean_users(spark, sf_dir))) as features:
         return cluster.project_2d(features, V.CLUSTER_FEATURES, ["user_id"])
 
 
