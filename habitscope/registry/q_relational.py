@@ -106,7 +106,7 @@ def x9(spark, sf_dir):
 SELECT n_name AS ten_quoc_gia, n_regionkey AS ma_vung FROM nation""")
 def x10(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias(ten_quoc_gia), F.col("n_regionkey").alias("ma_vung"))
+        F.col("n_name").alias("ten_quoc_gia"), F.col("n_regionkey").alias("ma_vung"))
 
 
 @query("x11_text_functions", """
