@@ -62,14 +62,26 @@ def histogram(df: DataFrame, col: str, width: float, start: float = 0.0) -> Data
 def correlations(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """Pearson r for every ordered pair, long format (col_a, col_b, r).
 
-    One pass: each unordered pair is one aggregate over the rows where both are
-    present, then mirrored.
+    One pass over the rows where both are present. Each row is spread over the
+    pairs and combined on the map side, so a task sends one line per pair; a single
+    aggregate per pair side by side would grow into code the JVM cannot compile.
     """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[F.corr(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.col(f"r_{i}") if digits is None else F.round(f"r_{i}", digits)
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), r.alias("r")))
-    return one.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
+    values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
+    spread = values.select("v", F.explode(cells).alias("pair")).select(
+        "pair.i", "pair.j", F.expr("v[pair.i]").alias("x"), F.expr("v[pair.j]").alias("y")
+    )
+    r = F.corr("x", "y") if digits is None else F.round(F.corr("x", "y"), digits)
+    half = spread.groupBy("i", "j").agg(r.alias("r"))
+    names = F.array(*[F.lit(c) for c in cols])
+
+    def cell(a: str, b: str) -> Column:
+        return F.struct(
+            names.getItem(F.col(a)).alias("col_a"), names.getItem(F.col(b)).alias("col_b"), "r"
+        )
+
+    both = F.when(F.col("i") == F.col("j"), F.array(cell("i", "j"))).otherwise(
+        F.array(cell("i", "j"), cell("j", "i"))
+    )
+    return half.select(F.explode(both).alias("cell")).select("cell.*")
