@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from habitscope.llm import lengths, mix, pack, shard
+from habitscope.llm import lengths, mix, neardup, pack, secret_scan, shard
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -29,11 +29,21 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern and random-field spans of secrets in every text."""
+    return secret_scan.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cutting-stock packing of all documents into sequences of 4096 tokens."""
     return pack.pack(documents(spark, sf_dir, "doc_id", "text"), vocabulary())
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 4-word shingles are similar by 0.8 or more."""
+    return neardup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), size=4)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the mix of sources, weights tempered by a square root."""
     return mix.mixed(documents(spark, sf_dir)).select(
@@ -52,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_packing, op8_mixing, op9_sharding, op10_token_counts)
+    f.__name__: f for f in (
+        op5_secrets, op6_packing, op7_near_duplicates, op8_mixing, op9_sharding, op10_token_counts)
 }
 ORACLES: dict[str, str] = {}

@@ -17,9 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from habitscope.llm.rows import as_scan, file_rows
+from habitscope.sources.scratch import settled
 
 PRIME = 2_147_483_647
 FACTOR = 48_271
+#: Up to so many files (a path and a count each) their starts are broadcast.
+BROADCAST_FILES = 50_000
 
 
 def round_keys(seed: int, rounds: int) -> list[int]:
@@ -65,8 +68,12 @@ def sharded(docs: DataFrame, shards: int, seed: int = 11, rounds: int = 6) -> Da
     placed = file_rows(docs)
     files = placed.groupBy(F.col("__path").alias("__file")).count()
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("__file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
-    rows = docs.count()
+    starts = settled(
+        files.select("__file", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start")), "files")
+    n_files, rows = starts.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    starts = starts.drop("count")
+    if n_files <= BROADCAST_FILES:
+        starts = F.broadcast(starts)
     side = max(1, math.isqrt(max(rows - 1, 0)) + 1)
     return (
         placed.join(starts, F.col("__path") == F.col("__file"))
@@ -81,11 +88,11 @@ def sharded(docs: DataFrame, shards: int, seed: int = 11, rounds: int = 6) -> Da
 
 def digest(docs: DataFrame, shards: int = 24, seed: int = 11) -> DataFrame:
     """The sharding of ``documents`` as one row per document."""
-    placed = sharded(docs.select("doc_id", "text"), shards, seed)
-    return placed.select(
+    sized = docs.select(
         "doc_id",
         (F.octet_length(F.coalesce("text", F.lit(""))) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
-        "row_number",
     )
+    return sharded(sized, shards, seed).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "row_number")

@@ -50,17 +50,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[ends[0]:ends[-1]], ends - ends[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the number of the first word of each row
-    (one more entry than rows)."""
-    inside = ~IS_SPACE[data]
+def runs(data: np.ndarray, offsets: np.ndarray, belongs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every maximal run of bytes that ``belongs`` (256 booleans) holds
+    for; no run crosses a row."""
+    inside = belongs[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
     edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
     first[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the number of the first word of each row
+    (one more entry than rows)."""
+    starts, ends = runs(data, offsets, ~IS_SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
