@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from habitscope.llm import lengths, mix, neardup, pack, secret_scan, shard
+from habitscope.llm import lengths, mix, neardup, pack, rules, secret_scan, shard, topk
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -29,6 +30,17 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-supervision verdict on every document."""
+    return rules.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector with all others."""
+    table = importable(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(table, F.col("vec_id") % 20 == 0)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pattern and random-field spans of secrets in every text."""
     return secret_scan.digest(documents(spark, sf_dir, "doc_id", "text"))
@@ -63,6 +75,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op5_secrets, op6_packing, op7_near_duplicates, op8_mixing, op9_sharding, op10_token_counts)
+        op2_quality_rules, op4_top_k, op5_secrets, op6_packing, op7_near_duplicates, op8_mixing, op9_sharding, op10_token_counts)
+}
+ORACLES: dict[str, str] = {
+    "op4_top_k": """
+WITH w AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM w q JOIN w c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
 }
-ORACLES: dict[str, str] = {}
