@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from habitscope.llm import lengths, mix, neardup, pack, rules, secret_scan, shard, topk
+from habitscope.llm import cotrain, language, lengths, mix, neardup, pack, rules, secret_scan, shard, topk
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -30,11 +30,21 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Co-trained quality score of every document."""
+    return cotrain.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weak-supervision verdict on every document."""
     return rules.digest(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the byte network."""
+    return language.digest(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every 20th vector with all others."""
     table = importable(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -75,7 +85,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_quality_rules, op4_top_k, op5_secrets, op6_packing, op7_near_duplicates, op8_mixing, op9_sharding, op10_token_counts)
+        op1_quality, op2_quality_rules, op3_language, op4_top_k, op5_secrets, op6_packing,
+        op7_near_duplicates, op8_mixing, op9_sharding, op10_token_counts)
 }
 ORACLES: dict[str, str] = {
     "op4_top_k": """
