@@ -15,12 +15,13 @@ import time
 
 from pyspark.sql import SparkSession, functions as F
 
-from habitscope.operators import cluster, evaluate, regress
+from habitscope.operators import cluster, regress
 from habitscope.plans import clustering, regression, reports
 from habitscope.plans import fixed_values as V
 from habitscope.plans import users as plan
 from habitscope.registry import dataset, query_functions
 from habitscope.sources import tables
+from habitscope.sources.scratch import use_checkpoints
 from habitscope.sources.session import suit_wide_tables
 
 FULL = ["q4_loyalty", "q8_anomaly", "c1_one_row_per_key", "e3_frequency_index_keep",
@@ -65,25 +66,18 @@ def main() -> None:
     for name, report in reports.ALL_REPORTS.items():
         timed(f"report_{name}", lambda: drain(report(users, **limits.get(name, {}))))
 
-    features = clustering.prepared(users).persist()
+    features = clustering.prepared(users)
     timed("elbow", lambda: drain(cluster.elbow(features, V.CLUSTER_FEATURES)))
     timed("kmeans", lambda: drain(clustering.radar_profile(
         clustering.clustered(features, clustering.fit(features)))))
-    features.unpersist()
-
-    def linear_models() -> None:
-        v = regression.vectors(users)
-        models = regress.fit_all(v.train, {
-            "ols": regress.ols("features", "label"),
-            "ridge": regress.ridge(v.train, "features", "label"),
-            "lasso": regress.lasso("features", "label"),
-            "forest": regress.random_forest("features", "label", trees=20),
-        })
-        predictions = regress.predict_all(models, v.test, [V.KEY, "label"])
-        drain(evaluate.leaderboard(evaluate.metrics_by_model(predictions)))
-        v.release()
-
-    timed("models", linear_models)
+    v = regression.vectors(users)
+    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label")
+    use_checkpoints(spark)
+    models = {}
+    for name, estimator in line_up.items():
+        timed("fit_" + name.lower().replace(" ", "_"),
+              lambda: models.update({name: estimator.fit(v.train)}))
+    timed("leaderboard", lambda: drain(regression.bake_off(v, models)))
     for key in FULL:
         timed(f"full_{key}", lambda: drain(query_functions()[key](spark, sf_dir)))
     spark.stop()

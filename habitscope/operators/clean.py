@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from habitscope.functions import columns as C
 from habitscope.operators.onerow import STATS, attach_one_row, stat
@@ -15,17 +15,24 @@ from habitscope.operators.onerow import STATS, attach_one_row, stat
 
 
 def keep_one_per_key(
-    df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = (), copies: str | None = None
+    df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = (), copies: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Keep, per key, the row with the greatest ``prefer`` tuple.
 
     The remaining columns break ties, so the outcome depends on the data only and
-    never on row order. This is a plain ``max(struct)``: every map task reduces
-    its rows of a key to one before the shuffle, so a key that owns a third of
-    the table costs no more than any other. ``copies`` names an optional column
-    with the number of rows seen for the key.
+    never on row order; ``unique`` states that ``prefer`` has no ties, and columns that
+    nobody reads afterwards are then not carried along. Every map task reduces its rows
+    of a key to one before the shuffle, so a key that owns a third of the table costs no
+    more than any other. ``copies`` names an optional column with the number of rows
+    seen for the key.
     """
     columns = df.columns
+    if not copies:
+        ties = [] if unique else [F.col(c) for c in columns if c not in keys]
+        order = [c.desc_nulls_last() for c in (*prefer, *ties)] or [F.lit(0)]
+        best = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("place_in_key", best).filter("place_in_key = 1").select(*columns)
     others = [c for c in columns if c not in keys]
     marks = [p.alias(f"prefer_{i}") for i, p in enumerate(prefer)]
     aggregates = [F.max(F.struct(*marks, *others)).alias("kept")]

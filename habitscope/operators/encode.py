@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from habitscope.functions import columns as C
 from habitscope.operators.onerow import STATS, attach_one_row, stat
+from habitscope.sources.scratch import settled
+
+# Labels of one count are ranked apart by so many leading bytes.
+LEAD_BYTES = 4
 
 
 def encode_codes(
@@ -27,7 +31,9 @@ def label_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, label, idx): 0 for the most frequent label, ties alphabetical.
 
     All columns are counted in one scan; the map side combines, so what is
-    shuffled is one row per distinct label and task.
+    shuffled is one row per distinct label and task. A column's labels are ranked in
+    parts of equal count and equal first bytes, which are then put one after the other:
+    a column with very many labels is not sorted in one task.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in cols])
@@ -39,25 +45,34 @@ def label_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .groupBy("column", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("label").asc())
-    return counts.select(
-        "column", "label", (F.row_number().over(order) - 1).cast("double").alias("idx")
+    lead = F.hex(F.substring(F.encode("label", "UTF-8"), 1, LEAD_BYTES))
+    counts = settled(counts.withColumn("lead", lead), "label-counts")
+    earlier = Window.partitionBy("column").orderBy(F.col("n").desc(), "lead").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    parts = counts.groupBy("column", "n", "lead").agg(F.count(F.lit(1)).alias("size")).select(
+        "column", "n", "lead", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before")
+    )
+    inside = Window.partitionBy("column", "n", "lead").orderBy("label")
+    return (
+        counts.withColumn("place", F.row_number().over(inside) - 1)
+        .join(parts, ["column", "n", "lead"])
+        .select("column", "label", (F.col("before") + F.col("place")).cast("double").alias("idx"))
     )
 
 
 def frequency_index(
     df: DataFrame, cols: Sequence[str], invalid: str = "keep", suffix: str = "_idx",
-    fitted: DataFrame | None = None, broadcast_labels: int = 10_000,
+    fitted: DataFrame | None = None,
 ) -> DataFrame:
     """Index labels by frequency. ``keep``: unseen and NULL share the extra index
     (= number of labels); ``skip``: such rows are dropped.
 
     ``fitted`` is an earlier ``label_ranks``, to index one table by another's
-    frequencies. The label table is counted first. Up to ``broadcast_labels`` it
-    is broadcast; beyond that the join is left to Spark, which then shuffles it
-    and splits skewed partitions at run time.
+    frequencies. The label table is settled, so Spark knows its bytes: it broadcasts a
+    small one by its own check and else shuffles, splitting skewed partitions at run time.
     """
-    ranks = (label_ranks(df, cols) if fitted is None else fitted).persist()
+    ranks = settled(label_ranks(df, cols) if fitted is None else fitted, "label-ranks")
     sizes = {
         r["column"]: r["n"]
         for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -68,8 +83,6 @@ def frequency_index(
         side = ranks.filter(F.col("column") == c).select(
             F.col("label").alias(f"label_of_{c}"), F.col("idx").alias(c + suffix)
         )
-        if n <= broadcast_labels:
-            side = F.broadcast(side)
         how = "inner" if invalid == "skip" else "left"
         out = out.join(side, F.col(c) == F.col(f"label_of_{c}"), how).drop(f"label_of_{c}")
         if invalid == "keep":

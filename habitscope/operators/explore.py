@@ -62,26 +62,29 @@ def histogram(df: DataFrame, col: str, width: float, start: float = 0.0) -> Data
 def correlations(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """Pearson r for every ordered pair, long format (col_a, col_b, r).
 
-    One pass over the rows where both are present. Each row is spread over the
-    pairs and combined on the map side, so a task sends one line per pair; a single
-    aggregate per pair side by side would grow into code the JVM cannot compile.
+    One pass over the rows where both are present. A row is spread over the first
+    columns only and correlated there with every second one, then combined on the map
+    side: as many rows as columns, and as many aggregates side by side.
     """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
+    size = len(cols)
     values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("v"))
-    spread = values.select("v", F.explode(cells).alias("pair")).select(
-        "pair.i", "pair.j", F.expr("v[pair.i]").alias("x"), F.expr("v[pair.j]").alias("y")
+    spread = values.select("v", F.posexplode("v").alias("i", "x"))
+    matrix = spread.groupBy("i").agg(
+        *[F.corr("x", F.element_at("v", j + 1)).alias(f"r_{j}") for j in range(size)]
     )
-    r = F.corr("x", "y") if digits is None else F.round(F.corr("x", "y"), digits)
-    half = spread.groupBy("i", "j").agg(r.alias("r"))
     names = F.array(*[F.lit(c) for c in cols])
+    cells = F.array(*[
+        F.struct(F.lit(j).alias("j"), F.lit(c).alias("name"), F.col(f"r_{j}").alias("r"))
+        for j, c in enumerate(cols)
+    ])
+    half = matrix.select(
+        "i", names[F.col("i")].alias("name"), F.explode(cells).alias("other")
+    ).filter("other.j >= i")
+    r = F.col("other.r") if digits is None else F.round("other.r", digits)
 
     def cell(a: str, b: str) -> Column:
-        return F.struct(
-            names.getItem(F.col(a)).alias("col_a"), names.getItem(F.col(b)).alias("col_b"), "r"
-        )
+        return F.struct(F.col(a).alias("col_a"), F.col(b).alias("col_b"), r.alias("r"))
 
-    both = F.when(F.col("i") == F.col("j"), F.array(cell("i", "j"))).otherwise(
-        F.array(cell("i", "j"), cell("j", "i"))
-    )
+    there, back = cell("name", "other.name"), cell("other.name", "name")
+    both = F.when(F.col("other.j") == F.col("i"), F.array(there)).otherwise(F.array(there, back))
     return half.select(F.explode(both).alias("cell")).select("cell.*")

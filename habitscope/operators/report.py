@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from habitscope.functions.columns import ColumnOrName, as_column
 from habitscope.operators.onerow import STATS, attach_one_row, stat
+from habitscope.sources.scratch import settled
 
 
 def grouped(
@@ -40,16 +41,19 @@ def top_ranked(
     return first.withColumn(rank_name, F.rank().over(by_value).cast("bigint"))
 
 
-def rank_everywhere(df: DataFrame, value: str, name: str, buckets: int = 256) -> DataFrame:
+def rank_everywhere(df: DataFrame, value: str, name: str, buckets: int | None = None) -> DataFrame:
     """RANK over the whole table (largest first, NULLs last) without one big sort.
 
-    Equal values are counted first, so a value held by a third of the rows is one
-    entry. The distinct values are cut into ranges at approximate percentiles
+    Equal values are counted first and the counts settled, so the input is read once
+    for them and a value held by a third of the rows is one entry. The distinct values are cut into ranges at approximate percentiles
     (their precision only affects balance); the rank is the number of rows in
-    higher ranges plus those before the value inside its own range.
+    higher ranges plus those before the value inside its own range. There are as many
+    ranges as the session has shuffle partitions, if ``buckets`` is not given.
     """
     v = F.col(value)
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    if buckets is None:
+        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = settled(df.groupBy(value).agg(F.count(F.lit(1)).alias("n")), "value-counts")
     steps = [i / buckets for i in range(1, buckets)]
     cuts = counts.agg(F.percentile_approx(v, steps).alias("cuts"))
     higher_cuts = F.size(F.filter(stat("cuts"), lambda cut: cut > v))

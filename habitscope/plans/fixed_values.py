@@ -2,8 +2,7 @@
 ranges, thresholds and class labels.
 
 They must be exactly these for results to agree with existing data and reports,
-so they are stated here as plain data, in one place. Nothing else in the package
-hard-codes a column name of this table.
+so they are stated here as plain data, in one place.
 """
 
 from __future__ import annotations

@@ -14,6 +14,7 @@ from habitscope.sources.scratch import settled, use_checkpoints
 
 NUMBERS = [*V.REGRESSION_INPUTS, V.REGRESSION_LABEL]
 FEATURES, LABEL = "features", V.REGRESSION_LABEL
+EXPLAINED = "Leafwise Boosting"
 
 
 def numeric_inputs(users: DataFrame) -> DataFrame:
@@ -79,14 +80,10 @@ class Vectors:
         ]
         return [*V.REGRESSION_FEATURES, *hot]
 
-    def release(self) -> None:
-        self.train.unpersist()
-        self.test.unpersist()
-
 
 def vectors(users: DataFrame, seed: int = 42) -> Vectors:
     """Encode and scale with stages fitted on the training rows. Both parts are
-    settled and kept in memory, because every model reads them many times."""
+    settled, because every model reads them many times."""
     train, test = prepared(*split(users, seed))
     stages = Pipeline(
         stages=encode.feature_stages(V.REGRESSION_FEATURES, V.REGRESSION_CATEGORIES, FEATURES)
@@ -94,7 +91,7 @@ def vectors(users: DataFrame, seed: int = 42) -> Vectors:
     train, test = (
         settled(
             stages.transform(part).select(V.KEY, F.col(LABEL).alias("label"), FEATURES), name
-        ).persist()
+        )
         for part, name in ((train, "train-vectors"), (test, "test-vectors"))
     )
     return Vectors(train, test, stages)

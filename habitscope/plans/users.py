@@ -27,10 +27,14 @@ def raw_schema() -> T.StructType:
     return T.StructType(fields)
 
 
-def one_record_per_user(raw: DataFrame, prefer: Sequence[Column] = (), copies: str | None = None):
-    """Complete records win over incomplete ones, then ``prefer`` decides."""
+def one_record_per_user(
+    records: DataFrame, prefer: Sequence[Column] = (), copies: str | None = None,
+    unique: bool = False,
+) -> DataFrame:
+    """Complete records win over incomplete ones, then ``prefer`` decides. Cast the
+    records first (``typed``): text that is no number makes a record incomplete."""
     marks = [clean.is_complete(V.REQUIRED), *prefer]
-    return clean.keep_one_per_key(raw, [V.KEY], marks, copies)
+    return clean.keep_one_per_key(records, [V.KEY], marks, copies, unique)
 
 
 def typed(df: DataFrame) -> DataFrame:
@@ -67,16 +71,20 @@ def with_derived(df: DataFrame) -> DataFrame:
     })
 
 
-def clean_users(raw: DataFrame, prefer: Sequence[Column] = ()) -> DataFrame:
-    """Everything but the frequency indices: lazy, one shuffle (the dedupe)."""
-    users = clean.require_columns(one_record_per_user(raw, prefer), V.REQUIRED)
-    return with_derived(encoded(accepted(typed(users))))
+def clean_users(raw: DataFrame, prefer: Sequence[Column] = (), unique: bool = False) -> DataFrame:
+    """Everything but the frequency indices: lazy, one shuffle (the dedupe). Incomplete
+    records never win over a complete one and are dropped anyway, so they go first."""
+    complete = clean.require_columns(typed(raw), V.REQUIRED)
+    users = clean.keep_one_per_key(complete, [V.KEY], prefer, unique=unique)
+    return with_derived(encoded(accepted(users)))
 
 
-def clean_and_indexed_users(raw: DataFrame, prefer: Sequence[Column] = ()) -> DataFrame:
+def clean_and_indexed_users(
+    raw: DataFrame, prefer: Sequence[Column] = (), unique: bool = False
+) -> DataFrame:
     """The full 80-column table. The clean rows are settled, because the label
     counts are needed before the first row can be indexed."""
-    users = settled(clean_users(raw, prefer), "users-clean")
+    users = settled(clean_users(raw, prefer, unique), "users-clean")
     return encode.frequency_index(users, V.NOMINAL_COLUMNS, invalid="keep")
 
 
@@ -118,7 +126,7 @@ def count_stages(seen: DataFrame) -> DataFrame:
 def stage_counts(raw: DataFrame, prefer: Sequence[Column] = ()) -> DataFrame:
     """Rows raw, after dedupe, after null removal, after the range filters, and
     removed in all: a single pass over the raw table."""
-    return count_stages(typed(one_record_per_user(raw, prefer, copies="copies")))
+    return count_stages(one_record_per_user(typed(raw), prefer, copies="copies"))
 
 
 def run_cleaning(raw: DataFrame, output: str, fmt: str = "parquet",
@@ -130,7 +138,7 @@ def run_cleaning(raw: DataFrame, output: str, fmt: str = "parquet",
     final write each read just the columns they need from there. It also ends the
     lineage, so a lost executor never sends the job back to the raw file.
     """
-    seen = settled(typed(one_record_per_user(raw, prefer, copies="copies")), "users-typed")
+    seen = settled(one_record_per_user(typed(raw), prefer, copies="copies"), "users-typed")
     counts = count_stages(seen).first().asDict()
     users = accepted(clean.require_columns(seen.drop("copies"), V.REQUIRED))
     out = encode.frequency_index(with_derived(encoded(users)), V.NOMINAL_COLUMNS, invalid="keep")

@@ -182,12 +182,12 @@ def newest_first() -> list:
 
 
 def clean_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.clean_users(raw_users(spark, sf_dir), newest_first()).drop("record_id")
+    return plan.clean_users(raw_users(spark, sf_dir), newest_first(), unique=True).drop("record_id")
 
 
 def typed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One typed row per user, before the acceptance filters."""
-    return plan.typed(plan.one_record_per_user(raw_users(spark, sf_dir), newest_first()))
+    return plan.one_record_per_user(plan.typed(raw_users(spark, sf_dir)), newest_first(), unique=True)
 
 
 # -- DuckDB ------------------------------------------------------------------------

@@ -84,15 +84,10 @@ def r3(spark, sf_dir):
 
 # -- the line-up on the stress score --------------------------------------------------------
 
-# Boosting rounds run one after the other; the registered queries use a fifth of
-# the library's default of 100. Everything else is at its default.
-ROUNDS = 20
-
-
 def fitted(spark, sf_dir, *names: str):
     """(vectors, models) for the named members of the line-up."""
     v = regression.vectors(clean_users(spark, sf_dir))
-    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label", rounds=ROUNDS)
+    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label")
     return v, regress.fit_all(v.train, {n: line_up[n] for n in names})
 
 
@@ -193,8 +188,11 @@ def r14(spark, sf_dir):
 def r14_seven(spark, sf_dir):
     """The whole bake-off: seven models scored on the held-out users."""
     v = regression.vectors(clean_users(spark, sf_dir))
-    return regression.bake_off(v, regression.fit_models(v, rounds=ROUNDS))
+    return regression.bake_off(v, regression.fit_models(v))
+
 
+# The booster that splits at leaves is the one explained.
+EXPLAINED = regression.EXPLAINED
 
 # -- explanation ----------------------------------------------------------------------------------
 
@@ -218,15 +216,15 @@ def r15(spark, sf_dir):
 
 @query("r15_tree_importances")
 def r15_tree(spark, sf_dir):
-    v, models = fitted(spark, sf_dir, "Random Forest")
-    return explain.tree_importances(v.train, models["Random Forest"], v.names())
+    v, models = fitted(spark, sf_dir, EXPLAINED)
+    return explain.tree_importances(v.train, models[EXPLAINED], v.names())
 
 
 @query("r15_permutation_importance")
 def r15_permutation(spark, sf_dir):
-    v, models = fitted(spark, sf_dir, "Random Forest")
+    v, models = fitted(spark, sf_dir, EXPLAINED)
     return explain.permutation_importance(
-        v.test, models["Random Forest"], v.names(), "label", ["user_id"])
+        v.test, models[EXPLAINED], v.names(), "label", ["user_id"])
 
 
 @query("r16_contributions", CONTRIBUTIONS_SQL + f"""

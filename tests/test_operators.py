@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from habitscope.operators import clean, cluster, encode, explain, explore, regress, report
@@ -39,7 +40,17 @@ def test_dedupe_of_a_hot_key_is_combined_before_the_shuffle(spark):
     out = clean.keep_one_per_key(df, ["k"], [F.col("v")])
     assert out.filter("k = 0").first()["v"] == 9999 and out.count() == 20001
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and plan.index("partial_max") > plan.index("Exchange")
+    assert "Partial" in plan and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+
+
+def test_dedupe_by_a_unique_mark_carries_only_what_is_read(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS v", "id * 2 AS wide", "id * 3 AS wider")
+    df.write.mode("overwrite").parquet(path := scratch.new_scratch_path(spark, "dedupe"))
+    table = spark.read.parquet(path)
+    out = clean.keep_one_per_key(table, ["k"], [F.col("v")], unique=True).select("k", "wide")
+    scan = next(x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in x)
+    assert "wider" not in scan.split("ReadSchema")[1]
+    assert sorted(r["wide"] for r in out.collect()) == [2 * v for v in range(93, 100)]
 
 
 def test_ranges_and_not_equal_drop_nulls(spark, rows):
@@ -77,18 +88,29 @@ def test_reject_report_adds_up(spark):
 # -- encoding ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_frequency_index_breaks_ties_by_name_and_keeps_or_skips_the_rest(spark, rows, limit):
+def test_frequency_index_breaks_ties_by_name_and_keeps_or_skips_the_rest(spark, rows):
     df = spark.createDataFrame([(x,) for x in ["b", "a", "a", "b", "c", None]], "t string")
-    kept = encode.frequency_index(df, ["t"], "keep", broadcast_labels=limit)
+    kept = encode.frequency_index(df, ["t"], "keep")
     assert rows(kept.distinct(), "t_idx") == [("a", 0.0), ("b", 1.0), ("c", 2.0), (None, 3.0)]
-    skipped = encode.frequency_index(df, ["t"], "skip", broadcast_labels=limit)
+    skipped = encode.frequency_index(df, ["t"], "skip")
     assert skipped.count() == 5
     unseen = spark.createDataFrame([("z",), ("a",)], "t string")
     again = encode.frequency_index(unseen, ["t"], "keep", fitted=encode.label_ranks(df, ["t"]))
     assert rows(again, "t_idx") == [("a", 0.0), ("z", 3.0)]
 
 
+def test_frequency_index_of_very_many_labels(spark):
+    df = spark.range(220_000).select(
+        F.when(F.col("id") < 20_000, F.lit("hot")).otherwise(F.concat(F.lit("é"), F.col("id"))).alias("t"))
+    out = encode.frequency_index(df, ["t"], "keep")
+    assert out.filter("t = 'hot'").select("t_idx").distinct().first()[0] == 0.0
+    rest = out.filter("t <> 'hot'")
+    assert rest.agg(F.count("*"), F.countDistinct("t_idx"), F.min("t_idx"), F.max("t_idx")).first() == (
+        200_000, 200_000, 1.0, 200_000.0)
+    order = Window.orderBy("t")
+    assert rest.withColumn("n", F.row_number().over(order)).filter("n <> t_idx").count() == 0
+
+
 def test_one_hot_drops_the_last_category(spark, rows):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), ("c",), (None,)], "t string")
     skip = encode.one_hot_columns(df, "t", "skip", "h")
@@ -268,12 +290,12 @@ def test_linear_contributions_add_up_to_the_prediction(spark):
         assert math.isclose(r["c"], r["prediction"] - mean, abs_tol=1e-9)
 
 
-@pytest.mark.parametrize("rows_per_bucket", [50_000, 40])
-def test_permutation_importance_finds_the_feature_that_matters(spark, rows_per_bucket):
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_permutation_importance_finds_the_feature_that_matters(spark, buckets):
     df = line(spark).withColumn("label", F.col("a") * 3)
     model = regress.random_forest("features", "label", trees=5, depth=6).fit(df)
     out = {r["feature"]: r["importance"] for r in explain.permutation_importance(
-        df, model, ["a", "b"], "label", ["id"], rows_per_bucket=rows_per_bucket).collect()}
+        df, model, ["a", "b"], "label", ["id"], buckets=buckets).collect()}
     assert out["a"] > 5 and abs(out["b"]) < 0.5
     tree = {r["feature"]: r["importance"] for r in explain.tree_importances(df, model, ["a", "b"]).collect()}
     assert tree["a"] > 0.95

@@ -7,7 +7,6 @@ from habitscope.registry import oracle_texts, query_functions
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = query_functions(), oracle_texts()
-SLOW = {"r5_gradient_boosting", "r6_histogram_boosting", "r7_leafwise_boosting", "r14_seven_models"}
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +24,6 @@ def test_equals_sql(spark, connection, key):
     assert problems == []
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, key):
     assert QUERIES[key](spark, SF).count() > 0

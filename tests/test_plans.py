@@ -94,4 +94,26 @@ def test_regression_vectors_and_bake_off(cleaned):
     assert len(v.names()) == v.train.first()["features"].size
     board = regression.bake_off(v, regression.fit_models(v, trees=5, rounds=2)).collect()
     assert [r["place"] for r in board] == list(range(1, 8))
-    v.release()
+
+
+def test_text_that_is_no_number_makes_a_record_incomplete(spark):
+    row = {c: "1" for c in (*V.DOUBLE_COLUMNS, *V.INT_COLUMNS, *V.NOMINAL_COLUMNS, *V.FLAG_CODES, *V.ORDINAL_CODES)}
+    row |= {V.KEY: "7", V.DATE_COLUMN: "1/2/2024", "gender": "Male"}
+    raw = spark.createDataFrame([row | {"age": "n/a", "sessions_per_day": "9"}, row | {"age": "23.0"}])
+    kept = plan.one_record_per_user(plan.typed(raw)).collect()
+    assert [(r["age"], r["sessions_per_day"]) for r in kept] == [(23, 1)]
+    counts = plan.stage_counts(raw).first()
+    assert (counts["raw_rows"], counts["distinct_users"], counts["after_nulls"]) == (2, 1, 1)
+
+
+def test_accepted_ranges_and_codes_are_these():
+    assert V.ACCEPTED_RANGES == {
+        "age": (13, 65), "sleep_hours_per_night": (3, 10), "exercise_hours_per_week": (0, 24),
+        "weekly_work_hours": (0, 80), "body_mass_index": (15, 45), "average_session_length_minutes": (5, 52),
+        "blood_pressure_systolic": (70, 200), "account_creation_year": (2010, 2025),
+    }
+    assert V.EXCLUDED_GENDER == "Prefer not to say" and V.REQUIRED == ["user_id", "age", "gender"]
+    assert set(V.FLAG_CODES) == {"gender", "has_children", "smoking", "uses_premium_features",
+                                 "two_factor_auth_enabled", "biometric_login_used"}
+    assert set(V.ORDINAL_CODES) == {"income_level", "diet_quality", "alcohol_frequency", "privacy_setting_level",
+                                    "education_level"}
