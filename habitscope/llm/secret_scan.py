@@ -68,8 +68,8 @@ class Tokens:
 
 
 def _bucket(values: np.ndarray, most: int) -> np.ndarray:
-    """1 + floor(log2) of positive values, 0 for 0, at most ``most``."""
-    return np.minimum(np.frexp(values.astype(float))[1], most)
+    """1 + floor(log2) of values, 0 for those below one, at most ``most``."""
+    return np.clip(np.frexp(values.astype(float))[1], 0, most)
 
 
 def token_features(data: np.ndarray, offsets: np.ndarray) -> Tokens:
