@@ -6,9 +6,11 @@ a shingle's K values are K neighbours in one array. Bands of coordinates are buc
 
 Copies with equal shingle sets are one class. In each bucket every class is compared with
 a pivot on full sets, and several pivot orders keep a bucket from hanging on one class.
-Classes of a bucket that are not yet in one component are then compared pair by pair, so
-a bucket of copies costs its size and no link is left out. Components are found by
-alternating large and small stars. Nothing per document reaches the driver.
+Classes of a bucket that are not yet in one component are then compared exactly: pair by
+pair in small buckets; in large ones those outside the largest component go against all,
+in blocks of bounded size whose intersections are counted at once, so pairs never become
+rows. Components are found by alternating large and small stars. Nothing per document
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,8 @@ from habitscope.sources.scratch import settled
 UNIVERSE = 1 << 20
 BANDS, BAND_ROWS = 32, 5
 CHUNK = 8192
+#: Buckets of so many classes are compared in blocks of these sizes.
+LARGE, STRAY_BLOCK, BLOCK = 16, 512, 2048
 #: Masks that order the classes of a bucket in different ways; the least of an order is a pivot.
 ORDERS = [0, 0x155A3C6E9B1F2D47, 0x2AA5C3916470E2B8, 0x7F0F5A3387C1D96E]
 
@@ -51,7 +56,7 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     odd = mixed(np.arange(1, size + 2, dtype=np.uint64)) | np.uint64(1)
     windows = np.zeros(len(hashes), np.uint64)
     for i in range(size):
-        windows[: len(hashes) - i] += hashes[i:] * odd[i]
+        windows[: max(len(hashes) - i, 0)] += hashes[i:] * odd[i]
     windows = mixed(windows)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= size:
@@ -79,7 +84,7 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, a 128-bit set digest ``hi``, ``lo``, and ``bands``."""
+    """``doc_id``, ``text_hash``, ``n_shingles``, a 128-bit set digest ``hi``, ``lo``, ``bands``."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             n, digests, bands = [], [], []
@@ -91,11 +96,13 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
             keys = pa.array(np.concatenate(bands).view(np.int64) if bands else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("doc_id")), pa.array(n, pa.int64()),
+                [part.column(part.schema.get_field_index("doc_id")),
+                 part.column(part.schema.get_field_index("text_hash")), pa.array(n, pa.int64()),
                  pa.array(both[:, 0]), pa.array(both[:, 1]), pa.ListArray.from_arrays(pa.array(ends), keys)],
-                ["doc_id", "n_shingles", "hi", "lo", "bands"])
+                ["doc_id", "text_hash", "n_shingles", "hi", "lo", "bands"])
 
-    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, hi long, lo long, bands array<long>")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        sketch, "doc_id long, text_hash long, n_shingles long, hi long, lo long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
@@ -149,9 +156,75 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         _enough(common, F.size("s"), F.size("t"), percent)).select("a", "b")
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold more than one component."""
+    split = members.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q")
+    return members.join(split.select("key"), "key", "left_semi")
+
+
+def _shared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id``, ``shared``: how many of its shingles another of the ``members`` has too. No
+    intersection can be larger, which bounds similarity before any pair is formed."""
+    here = sets.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    alone = (
+        here.select("id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle").agg(F.min("id").alias("id"), F.count("*").alias("times")).where("times = 1")
+        .groupBy("id").agg(F.count("*").alias("alone"))
+    )
+    return here.select("id", F.size("shingles").cast("long").alias("size")).join(alone, "id", "left").select(
+        "id", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _links_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components inside the buckets ``key``: every class outside a
+    bucket's largest component against every class of another component. Blocks are
+    numbered by a hash of the id; how many a bucket has follows its size."""
+    parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
+    shape = parts.groupBy("key").agg(
+        F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n")).select(
+        "key", F.col("most.part").alias("major"),
+        F.ceil((F.col("n") - F.col("most.n")) / STRAY_BLOCK).cast("int").alias("stray_blocks"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(shape, "key")
+
+    def block(count: str, salt: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(count)).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    strays = placed.where("part <> major").withColumn("x", block("stray_blocks", 1)).withColumn("y", each("blocks"))
+    every = placed.withColumn("y", block("blocks", 2)).withColumn("x", each("stray_blocks"))
+    unique = sets.dropDuplicates(["id"])
+    columns = ("id", "key", "x", "y", "part", "shingles")
+    strays, every = (  # renamed apart: both sides of the cogroup come from one table
+        f.select("key", "x", "y", "id", "part").join(unique, "id").select(*columns).toDF(*columns) for f in (strays, every))
+
+    def compare(some: pd.DataFrame, all_: pd.DataFrame) -> pd.DataFrame:
+        found: list[np.ndarray] = []
+        if len(some) and len(all_):
+            sizes = all_.shingles.map(len).to_numpy()
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            values, codes = np.unique(np.concatenate(all_.shingles.to_list()), return_inverse=True)
+            ids, part = all_.id.to_numpy(), all_.part.to_numpy()
+            for row in some.itertuples():
+                at = np.minimum(np.searchsorted(values, row.shingles), len(values) - 1)
+                own = np.zeros(len(values), np.int64)
+                own[at[values[at] == row.shingles]] = 1
+                common = np.add.reduceat(own[codes], starts)
+                near = (100 * common >= percent * (len(row.shingles) + sizes - common)) & (part != row.part)
+                found.append(np.stack([np.full(near.sum(), row.id), ids[near]], 1))
+        both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": both.min(axis=1), "b": both.max(axis=1)}) if len(both) else \
+            pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+
+    keys = ["key", "x", "y"]
+    return strays.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInPandas(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for each row of ``docs``
-    (``doc_id``, ``text``).
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``text_hash`` (xxhash64) for
+    each row of ``docs`` (``doc_id``, ``text``).
 
     Documents are linked if their sets of ``size``-word shingles have a Jaccard similarity
     of ``percent`` / 100 or more. ``component_id`` is the least doc_id reachable, ``kept``
@@ -183,14 +256,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     found = components(links)
     part = members.join(found, F.col("id") == F.col("node"), "left").select(
         "key", "id", "n", F.coalesce("component", "id").alias("part"))
-    split = part.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("key")
-    open_ = settled(part.join(split, "key", "left_semi"), "open")
-    left, right = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "part")]) for s in "ab")
+    open_ = settled(_open(part), "open")
+    shared = _shared(open_, sets)
+    able = settled(_open(open_.join(shared, "id").where(_enough(F.col("shared"), F.col("n"), F.col("shared"), percent))),
+                   "able")
+    size_of = able.groupBy("key").agg(F.count("*").alias("members"))
+    able = settled(able.join(size_of, "key"), "sized")
+    left, right = (able.where(f"members < {LARGE}").select("key", *[F.col(c).alias(f"{c}_{s}") for c in (
+        "id", "n", "part", "shared")]) for s in "ab")
     rest = left.join(right, "key").where(
         (F.col("part_a") != F.col("part_b")) & (F.col("id_a") < F.col("id_b"))
-        & _enough(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"), percent)
+        & _enough(F.least("shared_a", "shared_b"), F.col("n_a"), F.col("n_b"), percent)
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = settled(_confirmed(rest, sets, percent), "links")
+    blocks = _links_in_blocks(able.where(f"members >= {LARGE}").select("key", "id", "part"), sets, percent)
+    more = settled(_confirmed(rest, sets, percent).unionByName(blocks), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
@@ -201,4 +280,5 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return rows.drop("bands").join(named, ["hi", "lo"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id"))).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id"))).alias("kept"),
+        "text_hash")
