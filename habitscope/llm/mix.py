@@ -117,5 +117,4 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, unchanged, in the order of the mix: sorted over the output
     files and inside each."""
-    placed = settled(mixed(docs, **options), "mix-rows")
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    return mixed(docs, **options).repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)

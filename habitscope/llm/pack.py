@@ -25,14 +25,15 @@ from habitscope.sources.scratch import settled
 
 SEQUENCE = 4096
 UNIT = 16
-PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, order_key long"
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, sequence: int = SEQUENCE,
            keep_ids: bool = False) -> DataFrame:
     """One row per piece of each document of ``docs`` (``doc_id``, ``text``): tokens
     ``start`` .. ``start + length`` of its ids, which end with ``end_id``. A null or empty
-    text is that id alone. ``keep_ids`` adds the ids as little-endian 32-bit ``ids``."""
+    text is that id alone. ``keep_ids`` adds the ids as little-endian 32-bit ``ids``. Pieces
+    are ranked by ``order_key`` (long, spread over its range), by default a hash."""
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,15 +51,17 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, sequence: int = SE
             crc = [piece_crc(ids[i:j], end if k else b"") for i, j, k in zip(a.tolist(), b.tolist(), last.tolist())]
             columns = [part.column(part.schema.get_field_index("doc_id")).take(pa.array(row)),
                        pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
-                       pa.array(total[row], pa.int64())]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+                       pa.array(total[row], pa.int64()),
+                       part.column(part.schema.get_field_index("order_key")).take(pa.array(row))]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "order_key"]
             if keep_ids:
                 columns.append(pa.array([ids[i:j].astype("<u4").tobytes() + (end if k else b"")
                                          for i, j, k in zip(a.tolist(), b.tolist(), last.tolist())], pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    key = F.col("order_key").cast("long") if "order_key" in docs.columns else F.xxhash64("doc_id", F.length("text"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), key.alias("order_key"))
     return docs.mapInArrow(cut, PIECE_SCHEMA + (", ids binary" if keep_ids else ""))
 
 
@@ -146,7 +149,7 @@ def packed(piece_rows: DataFrame, sequence: int = SEQUENCE, unit: int = UNIT) ->
         [(k, v) for k, v in slots.items() if v],
         "slot_class int, uses array<struct<first: bigint, base: bigint, each: bigint>>")
     ranked = ranked_within(
-        classed, "__class", F.xxhash64("doc_id", "start", "ids_crc32"), F.col("doc_id"), F.col("start"))
+        classed, "__class", F.col("order_key"), F.col("doc_id"), F.col("start"))
     placed = (
         ranked.join(F.broadcast(plan), F.col("__class") == F.col("slot_class"))
         .withColumn("__use", F.element_at(F.filter("uses", lambda u: u["first"] <= F.col("__rank")), -1))
@@ -155,7 +158,8 @@ def packed(piece_rows: DataFrame, sequence: int = SEQUENCE, unit: int = UNIT) ->
     before = Window.partitionBy("sequence_id").orderBy(F.desc("__class"), "__rank") \
         .rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")) \
-        .select(*[c for c in piece_rows.columns if c not in ("sequence_id", "offset")], "sequence_id", "offset")
+        .select(*[c for c in piece_rows.columns if c not in ("sequence_id", "offset", "order_key")],
+                "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, sequence: int = SEQUENCE, unit: int = UNIT,

@@ -57,15 +57,12 @@ def permuted(number: Column, rows: int, seed: int, rounds: int = 6) -> Column:
         F.when(walked < rows, walked).otherwise(F.raise_error(F.lit("cycle walk too long")).cast("long")))
 
 
-def sharded(docs: DataFrame, shards: int, seed: int = 11, rounds: int = 6) -> DataFrame:
-    """``docs`` with ``row_number``, ``shard`` and ``slot``; nothing is shuffled.
+def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``docs`` with ``row_number`` (from 0, by file and place in the file), and their number.
 
-    Any column may be null and rows may repeat: only a row's place in the table counts.
-    An empty table gives no rows. Columns of ``docs`` with these three names are replaced.
-    The permutation is fixed by the table's files, the number of rows and the seed.
+    Only the files' row counts are put in order; no row is shuffled.
     """
-    docs = as_scan(docs)
-    placed = file_rows(docs)
+    placed = file_rows(docs.drop("row_number"))
     files = placed.groupBy(F.col("__path").alias("__file")).count()
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     starts = settled(
@@ -74,15 +71,35 @@ def sharded(docs: DataFrame, shards: int, seed: int = 11, rounds: int = 6) -> Da
     starts = starts.drop("count")
     if n_files <= BROADCAST_FILES:
         starts = F.broadcast(starts)
-    side = max(1, math.isqrt(max(rows - 1, 0)) + 1)
     return (
         placed.join(starts, F.col("__path") == F.col("__file"))
         .withColumn("row_number", (F.col("__start") + F.col("__row")).cast("long"))
-        .withColumn("__first", _once(F.col("row_number"), side, round_keys(seed, rounds)))
+        .drop("__path", "__row", "__file", "__start")
+    ), rows
+
+
+def in_row_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``order_key``: row numbers spread evenly over 0 .. 2^63."""
+    table, rows = numbered(as_scan(docs))
+    step = (1 << 63) // max(rows, 1)
+    return table.withColumn("order_key", F.col("row_number") * F.lit(min(step, (1 << 63) - 1))).drop("row_number")
+
+
+def sharded(docs: DataFrame, shards: int, seed: int = 11, rounds: int = 6) -> DataFrame:
+    """``docs`` with ``row_number``, ``shard`` and ``slot``; nothing is shuffled.
+
+    Any column may be null and rows may repeat: only a row's place in the table counts.
+    An empty table gives no rows. Columns of ``docs`` with these three names are replaced.
+    The permutation is fixed by the table's files, the number of rows and the seed.
+    """
+    table, rows = numbered(as_scan(docs))
+    side = max(1, math.isqrt(max(rows - 1, 0)) + 1)
+    return (
+        table.withColumn("__first", _once(F.col("row_number"), side, round_keys(seed, rounds)))
         .withColumn("__place", permuted(F.col("__first"), rows, seed, rounds))
         .withColumn("shard", (F.col("__place") % shards).cast("int"))
         .withColumn("slot", F.expr(f"__place div {shards}"))
-        .drop("__path", "__row", "__file", "__start", "__first", "__place")
+        .drop("__first", "__place")
     )
 
 
