@@ -160,10 +160,10 @@ class Views:
 
 
 def cotrained(content: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = ROUNDS) -> Views | None:
-    """Fit both views; ``label`` is 0, 1, or -1 for unlabelled. None unless both labels occur
-    among the rows that are learnt (two of three labelled rows) and those held back."""
+    """Fit both views; ``label`` is 0, 1, or -1 for unlabelled. Of each label two
+    of three rows are learnt and one held back; None unless both labels occur in both."""
     known = np.flatnonzero(label >= 0)
-    back = known[2::3]
+    back = np.sort(np.concatenate([np.flatnonzero(label == y)[2::3] for y in (0, 1)]))
     learn = np.setdiff1d(known, back)
     if any(len(set(label[s].tolist())) < 2 for s in (back, learn)):
         return None
