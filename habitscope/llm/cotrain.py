@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from habitscope.llm.rows import as_scan, file_rows, least_hashed
 from habitscope.llm.words import mixed, runs, slices, text_bytes, word_hashes, word_spans
+from habitscope.sources.scratch import settled
 
 #: Bounds of the fit: labelled documents, unlabelled ones, rounds, labels given in a round.
 LABELLED, POOL, ROUNDS, GIVEN = 5000, 5000, 5, 400
@@ -144,7 +146,10 @@ def calibrated(model: Logistic, x: np.ndarray, y: np.ndarray) -> Logistic:
         h = np.array([[(v * z * z).sum() + 1e-3, (v * z).sum()], [(v * z).sum(), v.sum() + 1e-3]])
         d = np.linalg.solve(h, [(z * (target - p)).sum(), (target - p).sum()])
         a, b = a + np.clip(d[0], -1, 1), b + np.clip(d[1], -1, 1)
-    model.slope, model.shift = max(float(a), 0.0), float(b)
+    if a <= 0:  # the view says nothing: the share of good documents remains
+        share = target.mean()
+        a, b = 0.0, np.log(share / (1 - share))
+    model.slope, model.shift = float(a), float(b)
     return model
 
 
@@ -199,8 +204,9 @@ def sample_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Features and label (-1: none) of the bounded fitting sample: LABELLED rows of least
     doc_id hash of ``labels`` and POOL documents of least hash under another seed."""
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.max("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    pool = docs.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(POOL)
+        F.max("quality").alias("label"))
+    known = least_hashed(known, LABELLED, 1, "doc_id")
+    pool = least_hashed(docs.where("doc_id IS NOT NULL").select("doc_id"), POOL, 9, "doc_id")
     ids = pool.select("doc_id", F.lit(-1).alias("label")).unionByName(known).groupBy(F.col("doc_id").alias("__id")).agg(
         F.max("label").alias("__label"))
 
@@ -213,7 +219,13 @@ def sample_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
                  pa.array([v.tobytes() for v in x], pa.binary()), pa.array([v.tobytes() for v in m], pa.binary())],
                 ["doc_id", "label", "content", "meta"])
 
-    chosen = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))  # LABELLED + POOL ids at most
+    docs = as_scan(docs)
+    # LABELLED + POOL ids at most, and one place for each, however often an id repeats.
+    places = settled(
+        file_rows(docs.select("doc_id")).join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
+        .groupBy("__id", "__label").agg(F.min(F.struct("__path", "__row")).alias("at"))
+        .select("__label", "at.__path", "at.__row"), "quality-sample")
+    chosen = file_rows(docs).join(F.broadcast(places), ["__path", "__row"])
     return chosen.select("doc_id", "text", "source", "lang", "n_chars", "__label").mapInArrow(
         features, "doc_id long, label long, content binary, meta binary")
 

@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from habitscope.llm.rows import as_scan, at_places, file_rows
 from habitscope.llm.words import slices, text_bytes
+from habitscope.sources.scratch import settled
 
 WINDOW = 256
 WIDTHS, FILTERS, EMBEDDED = (2, 3, 4), 16, 8
@@ -169,12 +171,16 @@ def held_out() -> Column:
 
 def training_windows(docs: DataFrame) -> DataFrame:
     """``lang`` and ``window``: up to PER_DOCUMENT windows of up to PER_LANGUAGE documents of
-    each language, DOCUMENTS in all, by least hash of doc_id; held-out rows are left out."""
-    pool = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
-                      & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    chosen = pool.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PER_LANGUAGE) \
-        .orderBy("nth", "lang").limit(DOCUMENTS).select("lang", "text")
+    each language, DOCUMENTS in all, by least hash of doc_id; held-out rows are left out.
+    The choice is made on narrow rows, and their texts are fetched by place."""
+    docs = as_scan(docs)
+    pool = file_rows(docs).where(
+        ~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
+    ).select("lang", F.xxhash64("doc_id").alias("hash"), "__path", "__row")
+    order = Window.partitionBy("lang").orderBy("hash", "__path", "__row")
+    places = pool.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PER_LANGUAGE) \
+        .orderBy("nth", "lang").limit(DOCUMENTS)
+    chosen = at_places(docs, settled(places, "language-sample")).select("lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):

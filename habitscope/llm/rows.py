@@ -51,3 +51,21 @@ def ranked_within(df: DataFrame, group: str, key: Column, *ties: Column, rank: s
         .withColumn(rank, (F.col("__start") + F.col("__in")).cast("long"))
         .drop("__group", "__from", "__start", "__in", "__key", "__range")
     )
+
+
+def least_hashed(df: DataFrame, limit: int, seed: int, *columns: str) -> DataFrame:
+    """At most ``limit`` rows of ``df``, those of least seeded hash of ``columns``.
+
+    A threshold that lets about four times the limit through comes first, so what tasks
+    send on is bounded by ``limit`` and not by their number. ``df`` is counted.
+    """
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
+    share = min(1.0, (4 * limit + 64) / max(df.count(), 1))
+    few = df.where(key <= F.lit(min(int(share * (1 << 63)), (1 << 63) - 1)))
+    return few.withColumn("__key", key).orderBy("__key", *columns).limit(limit).drop("__key")
+
+
+def at_places(df: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of the scan ``df`` at ``places`` (``__path``, ``__row``; a bounded sample,
+    which is broadcast)."""
+    return file_rows(df).join(F.broadcast(places.select("__path", "__row")), ["__path", "__row"]).drop("__path", "__row")

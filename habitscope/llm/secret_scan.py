@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from habitscope.llm.rows import as_scan, at_places, file_rows, least_hashed
 from habitscope.llm.words import runs, slices, text_bytes, word_hashes
+from habitscope.sources.scratch import settled
 
 # The base patterns and the least length of what each must match.
 ASSIGN = re.compile(
@@ -156,9 +158,11 @@ def base_tags(data: np.ndarray, offsets: np.ndarray, tokens: Tokens) -> np.ndarr
 
 
 def training_windows(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
-    """Windows of ``WINDOW`` tokens from the ``sample`` documents of least doc_id hash: up to
+    """Windows of ``WINDOW`` tokens from ``sample`` documents of least hash: up to
     ``POSITIVE_WINDOWS`` of each with a tagged token, ``NEGATIVE_WINDOWS`` at fixed places."""
-    chosen = docs.where("text IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    docs = as_scan(docs)
+    places = least_hashed(file_rows(docs.select("doc_id")), sample, 1, "doc_id", "__path", "__row")
+    chosen = at_places(docs, settled(places, "secret-sample"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
