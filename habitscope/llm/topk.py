@@ -30,7 +30,9 @@ def whole_vectors(table: DataFrame, vector: str, scale: int) -> Column:
     non-finite component."""
     parts = F.transform(vector, lambda x: x.cast("double"))
     fine = F.forall(parts, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    return F.when(fine, F.transform(parts, lambda x: F.floor(x * scale).cast("long")))
+    most = F.lit(float(1 << 62))
+    return F.when(fine, F.transform(
+        parts, lambda x: F.floor(F.greatest(F.least(x * scale, most), -most)).cast("long")))
 
 
 def matrix(vectors: pd.Series, width: int) -> np.ndarray:
@@ -81,6 +83,14 @@ def block_top(queries: np.ndarray, own: np.ndarray, candidates: np.ndarray, ids:
     return out
 
 
+def as_longs(scores: np.ndarray) -> np.ndarray:
+    """Scores as 64-bit integers; one beyond their range becomes the nearest."""
+    if scores.dtype != object:
+        return scores.astype(np.int64)
+    least, most = -(1 << 63), (1 << 63) - 1
+    return np.array([min(max(int(s), least), most) for s in scores], np.int64)
+
+
 def top_k(table: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id", vector: str = "embedding",
           scale: int = 64, block: int = BLOCK, batch: int = BATCH) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` for the rows of ``table`` that
@@ -88,7 +98,8 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
 
     Vectors that are null or hold a null or non-finite component, and rows without id, take
     no part. Rows that repeat an id are candidates each; a query that repeats is one query
-    for each different vector it has. Fewer than ``k`` candidates give all. Blocks and batches have a
+    for each different vector it has. A score beyond the range of a long is the nearest
+    long, and components beyond 2^62 are cut there. Fewer than ``k`` candidates give all. Blocks and batches have a
     fixed expected size, so their number follows the table and a task's memory does not.
     """
     rows = table.select(
@@ -119,7 +130,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
             sizes = [len(i) for i, _ in found]
             parts.append(pd.DataFrame({
                 "query_id": np.repeat(own, sizes), "vec_id": np.concatenate([i for i, _ in found]),
-                "score": np.concatenate([s for _, s in found]).astype(np.int64),
+                "score": np.concatenate([as_longs(s) for _, s in found]),
                 "q": np.repeat(some.q.to_numpy(np.int64), sizes)}))
         return pd.concat(parts)
 

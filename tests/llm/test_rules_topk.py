@@ -100,7 +100,7 @@ def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, v int")
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e4, 1e9])
+@pytest.mark.parametrize("scale", [1.0, 1e4, 1e7])
 @pytest.mark.parametrize("block", [7, 4096])
 def test_top_k_equals_brute_force(spark, scale, block):
     rng = random.Random(int(scale) + block)
@@ -120,6 +120,13 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(vectors(spark, []), F.col("vec_id") == 0).count() == 0
 
 
+def test_scores_beyond_a_long_are_the_nearest(spark):
+    from pyspark.sql import functions as F
+    rows = [(0, [1e12, 1.0], 0, 0), (1, [1e12, 0.0], 0, 0), (2, [-1e300, 0.0], 0, 0), (3, [0.0, 2.0], 0, 0)]
+    found = topk.top_k(vectors(spark, rows), F.col("vec_id") == 0).collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 2 ** 63 - 1), (0, 2, 3, 64 * 128), (0, 3, 2, -2 ** 63)]
+
+
 def test_depths_change_no_answer():
     rng = np.random.default_rng(0)
     centres = rng.normal(0, 12, (5, 16))
