@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from habitscope.llm import cotrain, language, lengths, mix, neardup, pack, rules, secret_scan, shard, topk
+from habitscope.llm import cotrain, language, lengths, mix, neardup, pack, rules, rules_sql, secret_scan, shard, topk
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -63,7 +63,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of 4-word shingles are similar by 0.8 or more."""
-    return neardup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), size=4)
+    return neardup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), size=4).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_near_duplicates, op8_mixing, op9_sharding, op10_token_counts)
 }
 ORACLES: dict[str, str] = {
+    "op2_quality_rules": rules_sql.oracle(),
     "op4_top_k": """
 WITH w AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -102,5 +104,30 @@ WITH w AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op7_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+      THEN list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM w
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), e AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+  ) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * common >= 80 * (na.n + nb.n - common)
+), r AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION
+  SELECT e.b, r.root FROM r JOIN e ON e.a = r.node
+), c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """,
 }

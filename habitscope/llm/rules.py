@@ -150,8 +150,9 @@ def judged(docs: DataFrame, least: float = 0.5) -> DataFrame:
     seen = settled(figures(docs.select("doc_id", "text")).select("*", *[r.vote() for r in RULES]), "figures")
     params = estimate(seen)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return seen.withColumn("base_failed", failed).withColumn("quality", F.round(posterior(params), 6)) \
-        .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
+    return seen.withColumn("base_failed", failed).withColumn("__p", posterior(params)) \
+        .withColumn("kept", ~F.col("base_failed") & (F.col("__p") >= least)) \
+        .withColumn("quality", F.round("__p", 3)).drop("__p")
 
 
 def digest(docs: DataFrame) -> DataFrame:
