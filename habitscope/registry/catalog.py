@@ -17,7 +17,7 @@ _ORACLES: dict[str, str] = {}
 
 MODULES = (
     "q_sources", "q_clean", "q_encode", "q_derive", "q_relational", "q_reports", "q_explore",
-    "q_models",
+    "q_models", "q_invariants",
 )
 
 
