@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,6 +13,7 @@ from habitscope.plans import regression
 from habitscope.registry.catalog import query
 from habitscope.registry.dataset import clean_users, half_up, table
 from habitscope.registry.q_encode import REGRESSION_SQL
+from habitscope.sources.scratch import use_checkpoints
 
 # -- linear fits with a closed form ------------------------------------------------------
 
@@ -84,11 +87,22 @@ def r3(spark, sf_dir):
 
 # -- the line-up on the stress score --------------------------------------------------------
 
+@lru_cache(maxsize=2)
+def shared_vectors(spark, sf_dir):
+    return regression.vectors(clean_users(spark, sf_dir))
+
+
+@lru_cache(maxsize=14)
+def shared_model(spark, sf_dir, name: str):
+    """One member of the line-up. The queries of a session that need it share the fit."""
+    use_checkpoints(spark)
+    train = shared_vectors(spark, sf_dir).train
+    return regress.seven_regressors(train, regression.FEATURES, "label")[name].fit(train)
+
+
 def fitted(spark, sf_dir, *names: str):
     """(vectors, models) for the named members of the line-up."""
-    v = regression.vectors(clean_users(spark, sf_dir))
-    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label")
-    return v, regress.fit_all(v.train, {n: line_up[n] for n in names})
+    return shared_vectors(spark, sf_dir), {n: shared_model(spark, sf_dir, n) for n in names}
 
 
 def prediction_query(key: str, name: str):
@@ -187,8 +201,9 @@ def r14(spark, sf_dir):
 @query("r14_seven_models")
 def r14_seven(spark, sf_dir):
     """The whole bake-off: seven models scored on the held-out users."""
-    v = regression.vectors(clean_users(spark, sf_dir))
-    return regression.bake_off(v, regression.fit_models(v))
+    v = shared_vectors(spark, sf_dir)
+    names = regress.seven_regressors(v.train, regression.FEATURES, "label")
+    return regression.bake_off(v, fitted(spark, sf_dir, *names)[1])
 
 
 # The booster that splits at leaves is the one explained.
