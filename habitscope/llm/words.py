@@ -16,7 +16,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+#: Text looked at together. The arrays over its bytes and words take some 60 times as much.
+SLICE_BYTES = 1 << 20
 SEGMENT = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 IS_SPACE = np.zeros(256, bool)
@@ -125,6 +126,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, or a longer copy with room for ``size`` values."""
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+
+
 class WordTokens:
     """Token ids of words, remembered in an open-addressed table of numpy arrays.
 
@@ -144,7 +152,7 @@ class WordTokens:
 
     def clear(self) -> None:
         self.keys, self.value = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.int32)
-        self.begin, self.ids, self.used = np.zeros(1, np.int64), np.zeros(0, np.uint32), 0
+        self.begin, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32), 0
         self.pieces: dict[str, list[int]] = {}
 
     def _piece(self, piece: str) -> list[int]:
@@ -184,9 +192,11 @@ class WordTokens:
             keys[at], self.value[at] = h, self.used + len(counts)
             counts.append(len(ids))
             flat += ids
+        end = int(self.begin[self.used])
+        self.begin, self.ids = _room(self.begin, self.used + len(counts) + 1), _room(self.ids, end + len(flat))
+        self.begin[self.used + 1:self.used + 1 + len(counts)] = end + np.cumsum(counts)
+        self.ids[end:end + len(flat)] = flat
         self.used += len(counts)
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
-        self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
 
     def _numbers(self, data, starts, ends) -> np.ndarray:
         hashes = word_hashes(data, starts, ends)
