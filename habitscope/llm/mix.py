@@ -59,8 +59,8 @@ def schedule(spark: SparkSession, slots: list[int], period: int) -> DataFrame:
 
 def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper: float = 0.5,
          block: int = 32, seed: int = 5, period: int = 1024) -> DataFrame:
-    """``__path``, ``__row``, ``queue``, ``block``, ``slot``, ``position`` for each row of
-    ``docs`` (columns ``doc_id``, ``source``, ``text``).
+    """``__file`` (a hash of the path), ``__row``, ``queue``, ``block``, ``slot``, ``position``
+    for each row of ``docs`` (columns ``doc_id``, ``source``, ``text``).
 
     Without ``weights`` a source of n documents weighs n ** ``temper``. Sources beyond the
     255 largest share one queue, so the schedule stays bounded; a null source is a source.
@@ -68,17 +68,18 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
     """
     spark = docs.sparkSession
     keys = file_rows(docs).select(
-        "source", F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"), "doc_id", "__path", "__row")
+        "source", F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"), "doc_id",
+        F.xxhash64("__path").alias("__file"), "__row")
     keys = settled(keys, "mix-keys")
     rank = keys.groupBy("source").count().orderBy(F.desc("count"), "source").limit(MAX_QUEUES)
     largest = [(r["source"], r["count"]) for r in rank.collect()]
     if not largest:
-        return keys.select("__path", "__row", *[F.lit(0).cast(t).alias(c) for c, t in (
+        return keys.select("__file", "__row", *[F.lit(0).cast(t).alias(c) for c, t in (
             ("queue", "int"), ("block", "long"), ("slot", "long"), ("position", "long"))])
     own = largest if len(largest) < MAX_QUEUES else largest[:-1]
     queue_of = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(own)], "name string, queue int")
     queued = keys.join(F.broadcast(queue_of), F.col("source").eqNullSafe(F.col("name")), "left").select(
-        "hash", "doc_id", "__path", "__row", F.coalesce("queue", F.lit(len(own))).alias("queue"))
+        "hash", "doc_id", "__file", "__row", F.coalesce("queue", F.lit(len(own))).alias("queue"))
     sizes = [n for _, n in own]
     if len(own) < len(largest):
         sizes.append(keys.count() - sum(sizes))
@@ -88,7 +89,7 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
     slots = whole_slots([max(w, 1e-9) for w in wanted], period)
     turns = schedule(spark, slots, period)
     ns, shares = (F.array(*[F.lit(x).cast("long") for x in xs]) for xs in (sizes, slots))
-    ranked = ranked_within(queued, "queue", F.col("hash"), F.col("doc_id"), F.col("__path"), F.col("__row"))
+    ranked = ranked_within(queued, "queue", F.col("hash"), F.col("doc_id"), F.col("__file"), F.col("__row"))
     placed = (
         ranked.withColumn("block", F.expr(f"__rank div {block}"))
         .withColumn("__share", F.element_at(shares, F.col("queue") + 1))
@@ -101,7 +102,7 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
                     lambda x: F.least(x["n"], (F.col("__round") * x["s"] + x["b"]) * block)),
         F.lit(0).cast("long"), lambda a, x: a + x)
     return placed.select(
-        "__path", "__row", "queue", "block", (F.col("__round") * period + F.col("__slot")).alias("slot"),
+        "__file", "__row", "queue", "block", (F.col("__round") * period + F.col("__slot")).alias("slot"),
         (earlier + F.col("__rank") % block).alias("position"))
 
 
@@ -111,7 +112,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     mine = ("queue", "block", "slot", "position")
     docs = as_scan(docs)
     where = settled(plan(docs, **options), "mix-plan")
-    return file_rows(docs.drop(*mine)).join(where, ["__path", "__row"]).drop("__path", "__row")
+    rows = file_rows(docs.drop(*mine)).withColumn("__file", F.xxhash64("__path")).drop("__path")
+    return rows.join(where, ["__file", "__row"]).drop("__file", "__row")
 
 
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
