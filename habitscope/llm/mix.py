@@ -2,24 +2,35 @@
 
 A source's documents, in a seeded hash order, are cut into blocks. With weight w its
 block k may start at slot floor(k / w) and must be placed before slot ceil((k + 1) / w);
-in each slot the released block with the earliest deadline goes next. Weights are whole
-slots of a period, so one period of the schedule is computed from the weights alone and
-repeats: the slot of any block, and the position of any document, are then arithmetic.
+in each slot the released block with the earliest deadline goes next. Weights are exact
+integer ratios, so releases and deadlines are those of the weights that were asked for,
+however long the table. The schedule is one pass over the blocks on the driver, which
+holds one entry per source and hands the schedule on in pieces of bounded size; documents
+find their slot by a join on source and block.
 
 At every slot each source that still has blocks has been given its weight times the slot,
-less than one block off. A source that runs out leaves its later slots empty; the others
-keep their proportions. Every document is placed once: nothing is repeated or left out.
+less than one block off. A source that runs out leaves its later slots to others that are
+released, or empty; the others keep their proportions. Every document is placed once:
+nothing is repeated or left out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from fractions import Fraction
+from heapq import heapify, heappop, heappush
+from math import lcm
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from habitscope.llm.rows import as_scan, file_rows, ranked_within
-from habitscope.sources.scratch import settled
+from habitscope.sources.scratch import new_scratch_path, settled
 
 MAX_QUEUES = 256
+#: Blocks of the schedule that the driver holds at a time.
+PIECE = 1 << 18
 
 
 def whole_slots(weights: list[float], period: int) -> list[int]:
@@ -34,36 +45,80 @@ def whole_slots(weights: list[float], period: int) -> list[int]:
     return slots
 
 
-def schedule(spark: SparkSession, slots: list[int], period: int) -> DataFrame:
-    """One period: ``queue``, ``turn`` (its how-many-eth block of the period), ``slot``,
-    and ``before`` (blocks of every queue in earlier slots). Bounded by the parameters."""
-    shares = ", ".join(f"{s}L" for s in slots)
-    per = f"{period}L"
-    return spark.range(1).select(F.explode(F.expr(f"""
-        aggregate(
-          sequence(0L, {per} - 1),
-          named_struct('done', array_repeat(0L, {len(slots)}),
-                       'plan', cast(array() AS array<struct<queue: int, turn: bigint, slot: bigint, before: array<bigint>>>)),
-          (state, slot) -> transform(array(array_min(filter(
-              transform(state.done, (k, q) -> named_struct(
-                'late', -(-((k + 1) * {per}) div element_at(array({shares}), q + 1)),
-                'queue', q,
-                'free', (k * {per}) div element_at(array({shares}), q + 1))),
-              block -> block.free <= slot))),
-            next -> named_struct(
-              'done', transform(state.done, (k, q) -> if(q = next.queue, k + 1, k)),
-              'plan', concat(state.plan, array(named_struct(
-                'queue', next.queue, 'turn', state.done[next.queue], 'slot', slot, 'before', state.done)))))[0],
-          state -> state.plan)""")).alias("p")).select("p.*")
+def exact_shares(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the proportions of positive ``weights``, which count as they
+    are written: 0.9 is nine tenths."""
+    ratios = [Fraction(str(w)) for w in weights]
+    scale = lcm(*[r.denominator for r in ratios])
+    return [r.numerator * (scale // r.denominator) for r in ratios]
+
+
+def turns(blocks: list[int], shares: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(queue, block, slot) of every block of every queue, slot by slot: of the released
+    blocks the one with the earliest deadline, then the first queue. A slot in which none
+    is released stays empty."""
+    total, slot = sum(shares), 0
+    ready = [(-(-total // s), q, 0) for q, s in enumerate(shares)]
+    later: list[tuple[int, int, int]] = []
+    heapify(ready)
+    while ready or later:
+        if not ready:
+            slot = max(slot, later[0][0])
+        while later and later[0][0] <= slot:
+            _, q, k = heappop(later)
+            heappush(ready, (-(-(k + 1) * total // shares[q]), q, k))
+        _, q, k = heappop(ready)
+        yield q, k, slot
+        slot += 1
+        if k + 1 < blocks[q]:
+            heappush(later, ((k + 1) * total // shares[q], q, k + 1))
+
+
+def schedule(spark: SparkSession, sizes: list[int], weights: list[float | None], block: int,
+             period: int | None = None) -> DataFrame:
+    """``number`` (of the queue), ``block``, ``slot`` and ``before`` (documents of all queues in
+    earlier slots), for queues of so many documents. Those without a weight come after all
+    others, in proportion to the roots of their sizes."""
+    path = new_scratch_path(spark, "mix-schedule")
+    names = ("number", "block", "slot", "before")
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    piece: list[tuple[int, int, int, int]] = []
+
+    def write() -> None:
+        columns = [pa.array(c, t) for c, t in zip(zip(*piece), types)]
+        spark.createDataFrame(pa.table(columns, list(names))).write.mode("append").parquet(path)
+        piece.clear()
+
+    before = start = 0
+    weighed = [q for q, w in enumerate(weights) if w is not None]
+    for part in (weighed, [q for q, w in enumerate(weights) if w is None]):
+        if not part:
+            continue
+        wanted = [sizes[q] ** 0.5 if weights[q] is None else weights[q] for q in part]
+        shares = exact_shares(wanted) if period is None else whole_slots([float(w) for w in wanted], period)
+        end = start
+        for i, k, slot in turns([-(-sizes[q] // block) for q in part], shares):
+            q = part[i]
+            piece.append((q, k, start + slot, before))
+            before += min(block, sizes[q] - k * block)
+            end = start + slot + 1
+            if len(piece) == PIECE:
+                write()
+        start = end
+    if piece:
+        write()
+    return spark.read.parquet(path)
 
 
 def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper: float = 0.5,
-         block: int = 32, seed: int = 5, period: int = 1024) -> DataFrame:
+         block: int = 32, seed: int = 5, period: int | None = None) -> DataFrame:
     """``__file`` (a hash of the path), ``__row``, ``queue``, ``block``, ``slot``, ``position``
     for each row of ``docs`` (columns ``doc_id``, ``source``, ``text``).
 
-    Without ``weights`` a source of n documents weighs n ** ``temper``. Sources beyond the
-    255 largest share one queue, so the schedule stays bounded; a null source is a source.
+    Without ``weights`` a source of n documents weighs n ** ``temper``. Sources that
+    ``weights`` does not name, or gives nothing, come after all others. With a ``period``
+    the weights are first rounded to whole slots of it, one at least; otherwise they are
+    exact. Sources beyond the 255 largest share one queue; a null source is a source.
     ``position`` runs from 0 without gaps. Repeated rows are rows like others.
     """
     spark = docs.sparkSession
@@ -79,31 +134,19 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
     own = largest if len(largest) < MAX_QUEUES else largest[:-1]
     queue_of = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(own)], "name string, queue int")
     queued = keys.join(F.broadcast(queue_of), F.col("source").eqNullSafe(F.col("name")), "left").select(
-        "hash", "doc_id", "__file", "__row", F.coalesce("queue", F.lit(len(own))).alias("queue"))
+        "hash", "doc_id", "__file", "__row", F.coalesce("queue", F.lit(len(own))).alias("number"))
     sizes = [n for _, n in own]
     if len(own) < len(largest):
         sizes.append(keys.count() - sum(sizes))
-    wanted = [float(n) ** temper for n in sizes]
+    wanted: list[float | None] = [float(n) ** temper for n in sizes]
     if weights is not None:
-        wanted = [weights.get(s, 0.0) for s, _ in own] + wanted[len(own):]
-    slots = whole_slots([max(w, 1e-9) for w in wanted], period)
-    turns = schedule(spark, slots, period)
-    ns, shares = (F.array(*[F.lit(x).cast("long") for x in xs]) for xs in (sizes, slots))
-    ranked = ranked_within(queued, "queue", F.col("hash"), F.col("doc_id"), F.col("__file"), F.col("__row"))
-    placed = (
+        wanted = [w if (w := weights.get(s, 0)) > 0 else None for s, _ in own] + wanted[len(own):]
+    ranked = ranked_within(queued, "number", F.col("hash"), F.col("doc_id"), F.col("__file"), F.col("__row"))
+    return (
         ranked.withColumn("block", F.expr(f"__rank div {block}"))
-        .withColumn("__share", F.element_at(shares, F.col("queue") + 1))
-        .withColumn("__round", F.expr("block div __share"))
-        .withColumn("turn", F.col("block") % F.col("__share"))
-        .join(F.broadcast(turns.withColumnRenamed("slot", "__slot")), ["queue", "turn"])
-    )
-    earlier = F.aggregate(
-        F.transform(F.arrays_zip(ns.alias("n"), shares.alias("s"), F.col("before").alias("b")),
-                    lambda x: F.least(x["n"], (F.col("__round") * x["s"] + x["b"]) * block)),
-        F.lit(0).cast("long"), lambda a, x: a + x)
-    return placed.select(
-        "__file", "__row", "queue", "block", (F.col("__round") * period + F.col("__slot")).alias("slot"),
-        (earlier + F.col("__rank") % block).alias("position"))
+        .join(schedule(spark, sizes, wanted, block, period), ["number", "block"])
+        .select("__file", "__row", F.col("number").alias("queue"), "block", "slot",
+                (F.col("before") + F.col("__rank") % block).alias("position")))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 
@@ -106,6 +107,37 @@ def test_mix_with_given_weights(docs, weights):
     check_mix(rows, {q: s / 64 for q, s in enumerate(slots)}, 3)
 
 
+@pytest.mark.parametrize("weights", [
+    [0.9, 0.04, 0.03, 0.03], [1] * 20, [0.97] + [0.03 / 49] * 49, [0.9] + [0.1 / 255] * 255, [2 ** 0.5, 3 ** 0.5, 1e-4]])
+def test_lag_is_below_one_block_of_the_weights_asked_for(weights):
+    """Over several periods of 1024 slots, against the exact target weights."""
+    slots, total = 5 * 1024, sum(Fraction(str(w)) for w in weights)
+    share = [Fraction(str(w)) / total for w in weights]
+    given = [0] * len(weights)
+    for q, k, slot in mix.turns([slots] * len(weights), mix.exact_shares(weights)):
+        if slot == slots:
+            break
+        assert k == given[q] and math.floor(k / share[q]) <= slot < math.ceil((k + 1) / share[q])
+        given[q] += 1
+    assert sum(given) == slots
+    assert all(abs(n - w * slots) < 1 for n, w in zip(given, share))
+
+
+def test_mix_keeps_the_weights_asked_for_over_periods(docs):
+    table = docs([(i, f"t{i}", "en", "abcd"[0 if i < 4600 else i % 4]) for i in range(5000)])
+    rows = mix.mixed(table, weights={"a": 0.9, "b": 0.04, "c": 0.03, "d": 0.03}, block=1).collect()
+    queue = {r.source: r.queue for r in rows}
+    check_mix(rows, {queue["a"]: 0.9, queue["b"]: 0.04, queue["c"]: 0.03, queue["d"]: 0.03}, 1)
+
+
+def test_sources_without_a_weight_come_last(docs, monkeypatch):
+    monkeypatch.setattr(mix, "PIECE", 7)
+    table = docs([(i, f"t{i}", "en", "abcd"[i % 4]) for i in range(80)])
+    rows = sorted(mix.mixed(table, weights={"a": 3, "c": 1, "d": 0}, block=2).collect(), key=lambda r: r.position)
+    assert [r.position for r in rows] == list(range(80))
+    assert {r.source for r in rows[:40]} == {"a", "c"} and {r.source for r in rows[40:]} == {"b", "d"}
+
+
 def test_mix_edges(docs, edges):
     out = mix.mixed(docs(edges).selectExpr("*", "0 AS position", "1 AS extra"), block=2)
     assert sorted(r.position for r in out.collect()) == list(range(len(edges)))
