@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from habitscope.llm.rows import as_scan, file_rows, ranked_within
 from habitscope.sources.scratch import new_scratch_path, settled
 
-MAX_QUEUES = 256
+#: Numbers of an int column. Sources beyond share the last number, but not their turns.
+MAX_QUEUES = 2 ** 31 - 1
 #: Blocks of the schedule that the driver holds at a time.
 PIECE = 1 << 18
 
@@ -118,7 +119,7 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
     Without ``weights`` a source of n documents weighs n ** ``temper``. Sources that
     ``weights`` does not name, or gives nothing, come after all others. With a ``period``
     the weights are first rounded to whole slots of it, one at least; otherwise they are
-    exact. Sources beyond the 255 largest share one queue; a null source is a source.
+    exact. Every source has a queue of its own, numbered by size; a null source is a source.
     ``position`` runs from 0 without gaps. Repeated rows are rows like others.
     """
     spark = docs.sparkSession
@@ -126,26 +127,23 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
         "source", F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"), "doc_id",
         F.xxhash64("__path").alias("__file"), "__row")
     keys = settled(keys, "mix-keys")
-    rank = keys.groupBy("source").count().orderBy(F.desc("count"), "source").limit(MAX_QUEUES)
-    largest = [(r["source"], r["count"]) for r in rank.collect()]
-    if not largest:
+    rank = keys.groupBy("source").count().orderBy(F.desc("count"), "source").toArrow()
+    if not len(rank):
         return keys.select("__file", "__row", *[F.lit(0).cast(t).alias(c) for c, t in (
             ("queue", "int"), ("block", "long"), ("slot", "long"), ("position", "long"))])
-    own = largest if len(largest) < MAX_QUEUES else largest[:-1]
-    queue_of = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(own)], "name string, queue int")
-    queued = keys.join(F.broadcast(queue_of), F.col("source").eqNullSafe(F.col("name")), "left").select(
-        "hash", "doc_id", "__file", "__row", F.coalesce("queue", F.lit(len(own))).alias("number"))
-    sizes = [n for _, n in own]
-    if len(own) < len(largest):
-        sizes.append(keys.count() - sum(sizes))
+    numbers = pa.table({"name": rank["source"], "number": pa.array(range(len(rank)), pa.int32())})
+    number_of = settled(spark.createDataFrame(numbers), "mix-queues")
+    queued = keys.join(number_of, F.col("source").eqNullSafe(F.col("name"))).select(
+        "hash", "doc_id", "__file", "__row", "number")
+    sizes = rank["count"].to_pylist()
     wanted: list[float | None] = [float(n) ** temper for n in sizes]
     if weights is not None:
-        wanted = [w if (w := weights.get(s, 0)) > 0 else None for s, _ in own] + wanted[len(own):]
+        wanted = [w if (w := weights.get(s.as_py(), 0)) > 0 else None for s in rank["source"]]
     ranked = ranked_within(queued, "number", F.col("hash"), F.col("doc_id"), F.col("__file"), F.col("__row"))
     return (
         ranked.withColumn("block", F.expr(f"__rank div {block}"))
         .join(schedule(spark, sizes, wanted, block, period), ["number", "block"])
-        .select("__file", "__row", F.col("number").alias("queue"), "block", "slot",
+        .select("__file", "__row", F.least("number", F.lit(MAX_QUEUES - 1)).alias("queue"), "block", "slot",
                 (F.col("before") + F.col("__rank") % block).alias("position")))
 
 

@@ -151,6 +151,24 @@ def test_more_sources_than_queues(docs, monkeypatch):
     assert sorted(r.position for r in out) == list(range(90)) and {r.queue for r in out} == {0, 1, 2, 3}
 
 
+@pytest.mark.parametrize("given", [False, True])
+def test_every_one_of_many_sources_has_its_own_turns(docs, given):
+    """More sources than the 256 queues there once were, each below one block off."""
+    table = docs([(i, f"t{i}", "en", f"s{i % 300 if i < 1500 else i % 7}") for i in range(2200)])
+    weights = {f"s{i}": 0.7 if i == 299 else 0.001 * (1 + i % 3) for i in range(300)} if given else None
+    rows = mix.mixed(table, weights=weights, block=1).collect()
+    name = {r.queue: r.source for r in rows}
+    sizes = Counter(r.queue for r in rows)
+    assert len(name) == len({r.source for r in rows}) == 300
+    wanted = {q: weights[name[q]] if given else n ** 0.5 for q, n in sizes.items()}
+    total = sum(wanted.values())
+    share = {q: w / total for q, w in wanted.items()}
+    for r in rows:
+        assert math.floor(r.block / share[r.queue] - 1e-6) <= r.slot < math.ceil((r.block + 1) / share[r.queue] + 1e-6)
+    assert sorted(r.position for r in rows) == list(range(2200))
+    assert len({r.slot for r in rows}) == 2200
+
+
 def test_mixed_order_is_the_row_order(spark, docs, tmp_path):
     table = docs([(i, f"t{i}", "en", "ab"[i % 3 == 0]) for i in range(500)])
     position = {r.doc_id: r.position for r in mix.mixed(table, block=4).collect()}
