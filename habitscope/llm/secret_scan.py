@@ -2,13 +2,15 @@
 
 The field tags tokens O (outside), B (begins a secret) or I (inside one). A token is a run
 of letters, digits and ``+ / _ -``; its features are shape, the neighbouring words, the
-marks around it and figures of its file. It is trained on token windows of a bounded
-sample, tagged by the patterns, by gradient steps on the exact log-likelihood (forward and
+marks around it and figures of its file. All texts are searched for the patterns first; the
+field is trained on token windows of a bounded sample of documents with a match and of
+others, tagged by the patterns, by gradient steps on the exact log-likelihood (forward and
 backward sums), and decoded by Viterbi over all tokens of all texts.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +24,8 @@ from habitscope.llm.rows import as_scan, at_places, file_rows, least_hashed
 from habitscope.llm.words import runs, slices, text_bytes, word_hashes
 from habitscope.sources.scratch import settled
 
+LOG = logging.getLogger(__name__)
+
 # The base patterns and the least length of what each must match.
 ASSIGN = re.compile(
     rb"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE)
@@ -142,27 +146,64 @@ def base_spans(data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[in
     return found
 
 
-def base_tags(data: np.ndarray, offsets: np.ndarray, tokens: Tokens) -> np.ndarray:
-    """0, 1, 2 for O, B, I: tokens of which the value of a pattern match is part."""
-    tags = np.zeros(len(tokens.starts), np.int8)
+def base_values(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(row, start, end) of the value of each pattern match, in the bytes of all rows."""
     for row, spans in base_spans(data, offsets).items():
         for a, b, kind in spans:
             if kind == 0:
                 m = ASSIGN.match(data[offsets[row] + a:offsets[row] + b].tobytes())
                 a += m.start(2) if m else 0
-            i = int(np.searchsorted(tokens.ends, offsets[row] + a, "right"))
-            j = int(np.searchsorted(tokens.starts, offsets[row] + b, "left"))
-            if i < j and not tags[i:j].any():
-                tags[i], tags[i + 1:j] = 1, 2
+            yield row, int(offsets[row]) + a, int(offsets[row]) + b
+
+
+def base_tags(data: np.ndarray, offsets: np.ndarray, tokens: Tokens) -> np.ndarray:
+    """0, 1, 2 for O, B, I: tokens of which the value of a pattern match is part."""
+    tags = np.zeros(len(tokens.starts), np.int8)
+    for _, a, b in base_values(data, offsets):
+        i = int(np.searchsorted(tokens.ends, a, "right"))
+        j = int(np.searchsorted(tokens.starts, b, "left"))
+        if i < j and not tags[i:j].any():
+            tags[i], tags[i + 1:j] = 1, 2
     return tags
 
 
-def training_windows(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
-    """Windows of ``WINDOW`` tokens from ``sample`` documents of least hash: up to
+def matches(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``__path``, ``__row`` of every row of the scan ``docs``, and whether a
+    pattern match tags a token of it (``matched``)."""
+    kept = ["doc_id", "__path", "__row"]
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            data, offsets = text_bytes(part.column(part.schema.get_field_index("text")))
+            matched = np.zeros(part.num_rows, bool)
+            for row, a, b in base_values(data, offsets):
+                matched[row] |= TOKEN[data[a:b]].any()
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(part.schema.get_field_index(c)) for c in kept], pa.array(matched)], [*kept, "matched"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return file_rows(docs.select("doc_id", "text")).select(*kept, "text").mapInArrow(
+        mark, f"doc_id {kind}, __path string, __row long, matched boolean")
+
+
+def sample_places(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[DataFrame, int]:
+    """Places of ``sample`` documents of the scan ``docs``, and how many of all documents
+    match a pattern. Half of the sample match and half do not, each those of least hash;
+    where there are fewer of one kind, more of the other."""
+    marked = settled(matches(docs), "secret-matches")
+    positives = marked.where("matched").count()
+    others = marked.count() - positives
+    most = max(sample // 2, sample - others)
+    key = ("doc_id", "__path", "__row")
+    places = least_hashed(marked.where("matched"), most, 1, *key).unionByName(
+        least_hashed(marked.where("NOT matched"), sample - min(most, positives), 1, *key))
+    return settled(places, "secret-sample"), positives
+
+
+def training_windows(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """Windows of ``WINDOW`` tokens from the rows of the scan ``docs`` at ``places``: up to
     ``POSITIVE_WINDOWS`` of each with a tagged token, ``NEGATIVE_WINDOWS`` at fixed places."""
-    docs = as_scan(docs)
-    places = least_hashed(file_rows(docs.select("doc_id")), sample, 1, "doc_id", "__path", "__row")
-    chosen = at_places(docs, settled(places, "secret-sample"))
+    chosen = at_places(docs, places)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -185,11 +226,13 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
 
 @dataclass
 class Field:
-    """Weights: one (values x 3 tags) table per feature, flattened; transitions; first tag."""
+    """Weights: one (values x 3 tags) table per feature, flattened; transitions; first tag.
+    ``positives``: documents with a pattern match in the table it was fitted on."""
 
     emission: np.ndarray
     moves: np.ndarray
     first: np.ndarray
+    positives: int = 0
 
 
 STARTS = np.concatenate([[0], np.cumsum(TABLES)])
@@ -382,8 +425,18 @@ def redacted(docs: DataFrame, field: Field | None, mark: str = "[SECRET]") -> Da
 
 
 def fitted(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field | None:
-    """The field trained on a bounded sample of ``docs`` (``doc_id``, ``text``)."""
-    return train([(bytes(r[0]), bytes(r[1])) for r in training_windows(docs, sample).collect()])
+    """The field trained on a bounded sample of ``docs`` (``doc_id``, ``text``). It is None,
+    with a warning, only if no document at all matches a pattern."""
+    docs = as_scan(docs)
+    places, positives = sample_places(docs, sample)
+    if not positives:
+        LOG.warning("no document matches a pattern: no random field is fitted, the patterns act alone")
+        return None
+    field = train([(bytes(r[0]), bytes(r[1])) for r in training_windows(docs, places).collect()])
+    if field is not None:
+        field.positives = positives
+    LOG.info("random field fitted; documents with a pattern match: %d", positives)
+    return field
 
 
 def digest(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:

@@ -120,3 +120,28 @@ def test_training_raises_the_likelihood_of_the_tags():
     decoded = S.viterbi(field, S.scores(field, tokens.features), tokens.first)
     assert (decoded == tags).mean() > 0.99 and (tags == 1).sum() == 40
     assert S.train([(w, bytes(len(t))) for w, t in windows]) is None
+
+
+def test_field_is_fitted_on_rare_matches(docs):
+    """Three matching documents of 600, a sample of 20: the field is fitted all the same."""
+    rng = random.Random(3)
+    texts = [" ".join(prose(rng, 20)) for _ in range(600)]
+    for i in (100, 300, 500):
+        texts[i] += f' secret = "{secret(rng)}"'
+    texts[7] += " token = ============"  # a match without a token tags nothing
+    table = docs(list(enumerate(texts)))
+    scan = S.as_scan(table)
+    places, positives = S.sample_places(scan, 20)
+    ids = {r.doc_id for r in places.collect()}
+    assert positives == 3 and {100, 300, 500} <= ids and len(ids) == places.count() == 20
+    field = S.fitted(table, 20)
+    assert field is not None and field.positives == 3
+    assert S.fitted(docs([(1, "no match"), (2, None)]), 20) is None
+
+
+def test_sample_is_half_of_matches(docs):
+    rng = random.Random(4)
+    texts = [" ".join(prose(rng, 5)) + (f" token={secret(rng)}" if i < 150 else "") for i in range(200)]
+    for sample, matched in ((40, 20), (120, 70), (500, 150)):
+        ids = [r.doc_id for r in S.sample_places(S.as_scan(docs(list(enumerate(texts)))), sample)[0].collect()]
+        assert len(ids) == min(sample, 200) and sum(i < 150 for i in ids) == matched
