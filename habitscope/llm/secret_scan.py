@@ -353,13 +353,13 @@ def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> dict[int
 
 def all_spans(field: Field | None, column: pa.Array) -> tuple[np.ndarray, np.ndarray, dict[int, list[tuple[int, int, int]]]]:
     """The bytes and offsets of a column, and each row's spans by start, then kind. What the
-    field finds counts where no pattern matches."""
+    field finds counts unless it lies inside a pattern match."""
     data, offsets = text_bytes(column)
     found = base_spans(data, offsets)
     if field is not None:
         for row, spans in field_spans(field, data, offsets).items():
             base = found.setdefault(row, [])
-            base += [s for s in spans if all(s[1] <= a or b <= s[0] for a, b, _ in base)]
+            base += [s for s in spans if not any(a <= s[0] and s[1] <= b for a, b, _ in base)]
     return data, offsets, {row: sorted(s, key=lambda x: (x[0], x[2], x[1])) for row, s in found.items()}
 
 

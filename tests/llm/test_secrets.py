@@ -145,3 +145,12 @@ def test_sample_is_half_of_matches(docs):
     for sample, matched in ((40, 20), (120, 70), (500, 150)):
         ids = [r.doc_id for r in S.sample_places(S.as_scan(docs(list(enumerate(texts)))), sample)[0].collect()]
         assert len(ids) == min(sample, 200) and sum(i < 150 for i in ids) == matched
+
+
+def test_field_span_wider_than_a_match_stays(docs, monkeypatch):
+    text = "id Zq0123456789abcdef0XyW and 0123456789abcdef end"
+    wide, inside = text.index("Zq"), text.index("0123456789abcdef end")
+    spans = [(wide, wide + 22, 3), (inside, inside + 16, 3)]
+    monkeypatch.setattr(S, "field_spans", lambda *_: {0: spans})
+    _, _, found = S.all_spans(object(), pa.array([text]))
+    assert found[0] == [(wide, wide + 22, 3), (wide + 2, wide + 19, 2), (inside, inside + 16, 2)]
