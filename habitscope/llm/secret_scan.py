@@ -299,17 +299,24 @@ def train(windows: list[tuple[bytes, bytes]], steps: int = 60, rate: float = 0.3
                  (theta[2] + np.array([0, 0, -1e4])).astype(np.float32))
 
 
-def viterbi(field: Field, emitted: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Best tags of sequences that begin at ``begins`` (one more entry than sequences),
-    all sequences at a time, the longest first."""
-    tags = np.zeros(len(emitted), np.int8)
-    lengths = np.diff(begins)
+@dataclass
+class Paths:
+    """Best paths of sequences, the longest first: their order, first places, how many are
+    at least so long, scores by last tag, and the tag before each tag at each place."""
+
+    order: np.ndarray
+    at: np.ndarray
+    live: np.ndarray
+    best: np.ndarray
+    came: list[np.ndarray]
+
+
+def _forward(field: Field, emitted: np.ndarray, at: np.ndarray, lengths: np.ndarray, entry: np.ndarray) -> Paths:
+    """All sequences at a time; ``entry`` has the score of each tag at each one's first place."""
     order = np.argsort(-lengths, kind="stable")
-    at, lengths = begins[:-1][order], lengths[order]
-    if not len(at) or not lengths[0]:
-        return tags
+    at, lengths = at[order], lengths[order]
     live = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right")
-    best = emitted[at[: live[0]]] + field.first
+    best = emitted[at] + entry[order]
     came = []
     for t in range(1, len(live)):
         options = best[: live[t], :, None] + field.moves
@@ -317,27 +324,71 @@ def viterbi(field: Field, emitted: np.ndarray, begins: np.ndarray) -> np.ndarray
         came.append(back)
         best[: live[t]] = np.take_along_axis(options, back[:, None, :].astype(np.int64), 1)[:, 0] \
             + emitted[at[: live[t]] + t]
-    tag = best.argmax(axis=1).astype(np.int64)
-    for t in range(len(live) - 1, -1, -1):
-        now = tag[: live[t]]
-        tags[at[: live[t]] + t] = now
+    return Paths(order, at, live, best, came)
+
+
+def _backward(paths: Paths, tag: np.ndarray, chosen: np.ndarray, tags: np.ndarray) -> None:
+    """Writes the tags of the ``chosen`` paths that end in ``tag``."""
+    tag = tag.copy()
+    for t in range(len(paths.live) - 1, -1, -1):
+        own = paths.live[t]
+        now = tag[:own]
+        tags[(paths.at[:own] + t)[chosen[:own]]] = now[chosen[:own]]
         if t:
-            tag[: live[t]] = came[t - 1][np.arange(live[t]), now]
+            tag[:own] = paths.came[t - 1][np.arange(own), now]
+
+
+def viterbi(field: Field, emitted: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Best tags of sequences that begin at ``begins`` (one more entry than sequences).
+
+    A sequence is gone through in pieces of ``SEQUENCE``, all pieces at a time: those after
+    a cut once for each tag before it. Scores carried from piece to piece tell which of
+    the three holds, so a cut changes nothing."""
+    tags = np.zeros(len(emitted), np.int8)
+    sizes = np.diff(begins)
+    heads, sizes = begins[:-1][sizes > 0], sizes[sizes > 0]
+    if not len(heads):
+        return tags
+    first = _forward(field, emitted, heads, np.minimum(sizes, SEQUENCE), np.tile(field.first, (len(heads), 1)))
+    ends = np.empty_like(first.best)
+    ends[first.order] = first.best
+    cuts = (sizes - 1) // SEQUENCE
+    last = ends.argmax(axis=1)
+    if cuts.any():
+        base = np.cumsum(cuts) - cuts
+        inner = np.arange(cuts.sum()) - np.repeat(base, cuts) + 1
+        at = np.repeat(heads, cuts) + inner * SEQUENCE
+        lengths = np.minimum(np.repeat(heads + sizes, cuts) - at, SEQUENCE)
+        later = _forward(field, emitted, np.repeat(at, 3), np.repeat(lengths, 3), np.tile(field.moves, (len(at), 1)))
+        through = np.empty_like(later.best)
+        through[later.order] = later.best
+        through = through.reshape(-1, 3, 3)
+        came = np.zeros((len(at), 3), np.int8)
+        for k in range(int(cuts.max())):
+            rows = np.flatnonzero(cuts > k)
+            options = (ends[rows] - ends[rows].max(axis=1, keepdims=True))[:, :, None] + through[base[rows] + k]
+            came[base[rows] + k] = options.argmax(axis=1)
+            ends[rows] = options.max(axis=1)
+        last = ends.argmax(axis=1)
+        ending, entered = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        for k in range(int(cuts.max()) - 1, -1, -1):
+            rows = np.flatnonzero(cuts > k)
+            piece = base[rows] + k
+            ending[piece] = last[rows]
+            last[rows] = entered[piece] = came[piece, last[rows]]
+        _backward(later, np.repeat(ending, 3)[later.order], (later.order % 3) == entered[later.order // 3], tags)
+    _backward(first, last[first.order].astype(np.int64), np.ones(len(heads), bool), tags)
     return tags
 
 
 def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
     """Row -> (start byte, end byte, 3) of what the field tags, in the row's bytes. A
-    sequence is a line, or 256 tokens of a longer one."""
+    sequence is a line."""
     tokens = token_features(data, offsets)
     n = len(tokens.starts)
     if not n:
         return {}
-    heads = np.flatnonzero(tokens.line)
-    sizes = np.diff(np.append(heads, n))
-    cuts = (sizes + SEQUENCE - 1) // SEQUENCE
-    inner = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-    begins = np.append(np.repeat(heads, cuts) + inner * SEQUENCE, n)
+    begins = np.append(np.flatnonzero(tokens.line), n)
     tags = viterbi(field, scores(field, tokens.features), begins)
     opens = np.flatnonzero(tags == 1)
     stops = np.append(np.flatnonzero(tags != 2), n)

@@ -154,3 +154,41 @@ def test_field_span_wider_than_a_match_stays(docs, monkeypatch):
     monkeypatch.setattr(S, "field_spans", lambda *_: {0: spans})
     _, _, found = S.all_spans(object(), pa.array([text]))
     assert found[0] == [(wide, wide + 22, 3), (wide + 2, wide + 19, 2), (inside, inside + 16, 2)]
+
+
+def whole_viterbi(field, emitted):
+    """Best tags of one sequence in double precision, place after place."""
+    best, came = emitted[0].astype(float) + field.first, []
+    for e in emitted[1:]:
+        options = best[:, None] + field.moves
+        came.append(options.argmax(axis=0))
+        best = options.max(axis=0) + e
+    tags = [int(best.argmax())]
+    for back in reversed(came):
+        tags.append(int(back[tags[-1]]))
+    return tags[::-1]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_viterbi_carries_over_cuts(seed, monkeypatch):
+    monkeypatch.setattr(S, "SEQUENCE", 4)
+    rng = np.random.default_rng(seed)
+    field, lengths = tiny_field(rng), [4, 1, 23, 0, 3, 8, 9, 40, 5]
+    emitted = rng.normal(0, 1, (sum(lengths), 3)).astype(np.float32)
+    begins = np.concatenate([[0], np.cumsum(lengths)])
+    tags = S.viterbi(field, emitted, begins)
+    for a, b in zip(begins[:-1], begins[1:]):
+        assert a == b or tags[a:b].tolist() == whole_viterbi(field, emitted[a:b])
+
+
+def test_secret_across_a_cut_is_whole(monkeypatch):
+    """Tokens 255 to 257 of one line are one secret of short tokens."""
+    words = ["word"] * 255 + ["Ab1c", "Cd2e", "Ef3g"] + ["word"] * 300
+    text = " ".join(words)
+    field = S.Field(np.zeros((int(S.STARTS[-1]), 3), np.float32), np.zeros((3, 3), np.float32), np.zeros(3, np.float32))
+    field.moves[0, 2] = field.first[2] = -1e4
+    want = np.zeros(len(words), int)
+    want[255:258] = 1, 2, 2
+    monkeypatch.setattr(S, "scores", lambda *_: np.eye(3, dtype=np.float32)[want])
+    at = text.index("Ab1c")
+    assert S.field_spans(field, *S.text_bytes(pa.array([text]))) == {0: [(at, at + 14, 3)]}
