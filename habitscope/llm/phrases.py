@@ -38,8 +38,8 @@ LONGEST = 5
 SEGMENT = 1 << 20
 #: Bits of a table of words or prefixes that tasks look at (8 MB).
 BITS = 26
-#: Phrases of a task counted together before they go on.
-TOGETHER = 1 << 22
+#: Bytes of phrases, and words, that a task counts together before they go on.
+PHRASE_BYTES, TOGETHER = 1 << 25, 1 << 18
 #: Share of a language's frequent words in the first batch.
 FIRST_SHARE = 0.5
 
@@ -136,9 +136,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for local, starts, ends, row, hashes, _ in spoken(*text_bytes(part.column(part.schema.get_field_index("text")))):
                 ids, first, times = np.unique(_word_ids(codes, row, hashes), return_index=True, return_counts=True)
                 held.append((ids, times, _strings(local, starts[first], ends[first]), langs.take(pa.array(row[first]))))
-            if sum(len(h[0]) for h in held) > TOGETHER // 8:
+            if sum(len(h[0]) for h in held) > TOGETHER:
                 held = [merged()]
-                if len(held[0][0]) > TOGETHER // 16:
+                if len(held[0][0]) > TOGETHER // 2:
                     yield batch(held.pop())
         if held:
             yield batch(merged())
@@ -261,8 +261,11 @@ def counted(corpus: DataFrame, lengths: tuple[int, ...], choice: Choice, beside:
                 words = [x[at + i] for i in range(m)]
                 near = [x[at - 1], x[at - 1], x[at + m], x[at + m]] if beside else []
                 held[m].append(np.stack([phrase_hashes(words), *words, np.ones(len(at), np.uint64), *near], 1))
-                if sum(map(len, held[m])) > TOGETHER:
-                    yield batch(m)
+            weight = {m: sum(h.nbytes for h in held[m]) for m in lengths}
+            while sum(weight.values()) > PHRASE_BYTES:
+                m = max(weight, key=weight.get)
+                yield batch(m)
+                weight[m] = 0
         for m in lengths:
             if held[m]:
                 yield batch(m)
