@@ -18,11 +18,18 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Rows of an Arrow batch. Ten thousand documents in a batch, going and coming, take hundreds
+#: of MB beside the heap.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers of a local session import this package from its source tree; a
-    cluster gets it by ``--py-files`` or an installation."""
+    cluster gets it by ``--py-files`` or an installation. Texts go to them in small batches."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    if int(spark.conf.get(ARROW_ROWS, "10000")) == 10000:  # Spark's default
+        spark.conf.set(ARROW_ROWS, "512")
     return spark
 
 

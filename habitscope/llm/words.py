@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text looked at together. The arrays over its bytes and words take some 60 times as much.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SEGMENT = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 IS_SPACE = np.zeros(256, bool)
