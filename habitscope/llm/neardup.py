@@ -62,7 +62,7 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         if b - a >= size:
             yield np.unique(windows[a:b - size + 1])
         elif b > a:
-            yield mixed((hashes[a:b] * odd[: b - a]).sum(keepdims=True) + odd[size] * np.uint64(b - a))
+            yield mixed((hashes[a:b] * odd[: b - a]).sum(keepdims=True) + odd[size:] * np.uint64(b - a))
         else:
             yield windows[:0]
 

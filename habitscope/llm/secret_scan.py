@@ -37,7 +37,6 @@ WINDOW, NEGATIVE_WINDOWS, POSITIVE_WINDOWS = 24, 2, 6
 SAMPLE_DOCS = 4000
 SEQUENCE = 256
 WORDS = 4096
-LEAST_FOUND = 8
 #: Sizes of the feature tables, in the order of ``token_features``.
 TABLES = (16, 32, 32, 64, 64, 8, 8, 16, WORDS, WORDS)
 BITS = 12
@@ -91,8 +90,10 @@ def token_features(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     packed = sums[ends] - sums[starts]
     length = ends - starts
     part = [((packed >> np.uint64(BITS * i)) & np.uint64(2 ** BITS - 1)).astype(np.int64) for i in range(5)]
-    usual = length < 2 ** BITS
-    lower, upper, digit, symbol, hexed = (np.where(usual, p, 0) for p in part)
+    for i in np.flatnonzero(length >= 2 ** BITS).tolist():  # beyond the packed counters
+        for p, table in zip(part, (LOWER, UPPER, DIGIT, SYMBOL, HEX)):
+            p[i] = np.count_nonzero(table[data[starts[i]:ends[i]]])
+    lower, upper, digit, symbol, hexed = part
     changes = np.zeros(len(data) + 1, np.int64)
     kind = CLASS[data]
     np.cumsum(kind[1:] != kind[:-1], out=changes[1:len(data)])
@@ -396,9 +397,8 @@ def field_spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> dict[int
     for i in opens.tolist():
         j = int(stops[np.searchsorted(stops, i + 1)]) - 1
         a, b = int(tokens.starts[i]), int(tokens.ends[j])
-        if b - a >= LEAST_FOUND:
-            row = int(np.searchsorted(offsets, a, "right")) - 1
-            found.setdefault(row, []).append((a - int(offsets[row]), b - int(offsets[row]), 3))
+        row = int(np.searchsorted(offsets, a, "right")) - 1
+        found.setdefault(row, []).append((a - int(offsets[row]), b - int(offsets[row]), 3))
     return found
 
 
