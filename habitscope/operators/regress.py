@@ -8,6 +8,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from habitscope.operators.boost import HistogramBoosting, Settings
+
 
 def ols(features: str, label: str) -> LinearRegression:
     return LinearRegression(featuresCol=features, labelCol=label)
@@ -60,18 +62,17 @@ def seven_regressors(
     train: DataFrame, features: str, label: str, trees: int = 100, rounds: int = 100,
     seed: int = 42,
 ) -> dict[str, Estimator]:
-    """The model line-up. The two histogram boosters differ from plain boosting in
-    depth, number of bins and smallest leaf."""
+    """The model line-up. The two histogram boosters take second-order steps on binned
+    features; one grows whole levels, the other its best leaf first."""
     return {
         "Linear Regression": ols(features, label),
         "Ridge Regression": ridge(train, features, label),
         "Lasso Regression": lasso(features, label),
         "Random Forest": random_forest(features, label, trees=trees, seed=seed),
         "Gradient Boosting": boosted_trees(features, label, rounds, depth=5, seed=seed),
-        "Histogram Boosting": boosted_trees(features, label, rounds, depth=6, bins=256, seed=seed),
-        "Leafwise Boosting": boosted_trees(
-            features, label, rounds, depth=6, bins=255, min_rows=20, seed=seed
-        ),
+        "Histogram Boosting": HistogramBoosting(features, label, Settings(rounds, depth=6, bins=256)),
+        "Leafwise Boosting": HistogramBoosting(
+            features, label, Settings(rounds, depth=6, bins=255, penalty=0.0, min_rows=20, leaves=31)),
     }
 
 

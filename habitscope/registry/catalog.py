@@ -8,7 +8,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from habitscope.sources.session import suit_wide_tables
+from habitscope.sources.session import importable_by_workers, suit_wide_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,7 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(suit_wide_tables(spark), sf_dir)
+            return function(importable_by_workers(suit_wide_tables(spark)), sf_dir)
 
         _QUERIES[key] = run
         if oracle is not None:

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
-from habitscope.operators import encode, evaluate, explain, regress
+from habitscope.operators import boost, encode, evaluate, explain, regress
 from habitscope.plans import fixed_values as V
 from habitscope.plans import regression
 from habitscope.registry.catalog import query
 from habitscope.registry.dataset import clean_users, half_up, table
-from habitscope.registry.q_encode import REGRESSION_SQL
+from habitscope.registry.q_encode import REGRESSION_SQL, VECTORS_SQL
 from habitscope.sources.scratch import use_checkpoints
 
 # -- linear fits with a closed form ------------------------------------------------------
@@ -120,6 +121,80 @@ prediction_query("r6_histogram_boosting", "Histogram Boosting")
 prediction_query("r7_leafwise_boosting", "Leafwise Boosting")
 
 
+# One tree on given bins, which SQL can grow too: the root's best split, then its children's.
+TREE_EDGES = {
+    "l_linenumber": [float(i) for i in range(1, 7)], "l_quantity": [float(i) for i in range(1, 50)],
+    "l_discount": [i / 100 for i in range(10)], "l_tax": [i / 100 for i in range(8)],
+}
+
+
+def tree_sql(penalty: float, min_rows: int, leaves: int) -> str:
+    def term(g: str, n: str) -> str:
+        return f"({g}) * ({g}) / ({n} + {penalty})"
+
+    def best(rows: str, name: str) -> str:
+        return f"""{name}_sums AS (
+  SELECT node, f, b, SUM(y) AS g, COUNT(*)::DOUBLE AS n
+  FROM (SELECT node, y, UNNEST([0, 1, 2, 3]) AS f, UNNEST([f0, f1, f2, f3]) AS b FROM {rows}) GROUP BY ALL),
+{name}_cuts AS (
+  SELECT node, f, b, SUM(g) OVER up AS gl, SUM(n) OVER up AS nl, SUM(g) OVER every AS g, SUM(n) OVER every AS n
+  FROM {name}_sums WINDOW up AS (PARTITION BY node, f ORDER BY b), every AS (PARTITION BY node, f)),
+{name} AS (
+  SELECT node, f, b, {term("gl", "nl")} + {term("g - gl", "(n - nl)")} - {term("g", "n")} AS gain
+  FROM {name}_cuts WHERE nl >= {min_rows} AND n - nl >= {min_rows}
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY gain DESC, f, b) = 1)"""
+
+    def side(rows: str, split: str, node: str) -> str:
+        return f"""SELECT {node} AS node, y, f0, f1, f2, f3 FROM (
+    SELECT x.*, CASE s.f WHEN 0 THEN f0 WHEN 1 THEN f1 WHEN 2 THEN f2 ELSE f3 END <= s.b AS low
+    FROM {rows} x JOIN {split} s ON s.node = x.node)"""
+
+    names = "[" + ", ".join(f"'{n}'" for n in TREE_EDGES) + "]"
+    return f"""WITH x AS (
+  SELECT '' AS node, l_extendedprice AS y, l_linenumber::INT AS f0, l_quantity::INT AS f1,
+    ROUND(l_discount * 100)::INT AS f2, ROUND(l_tax * 100)::INT AS f3 FROM lineitem),
+{best("x", "first")},
+children AS ({side("x", "first", "CASE WHEN low THEN 'l' ELSE 'r' END")}),
+{best("children", "every_second")},
+second AS (SELECT * FROM every_second QUALIFY ROW_NUMBER() OVER (ORDER BY gain DESC, node) < {leaves}),
+grandchildren AS ({side("children", "second", "node || CASE WHEN low THEN 'l' ELSE 'r' END")}),
+nodes AS (
+  SELECT node, COUNT(*) AS rows, SUM(y) / (COUNT(*) + {penalty}) AS value
+  FROM (SELECT * FROM x UNION ALL SELECT * FROM children UNION ALL SELECT * FROM grandchildren) GROUP BY node),
+splits AS (SELECT * FROM first UNION ALL SELECT * FROM second)
+SELECT n.node, {names}[s.f + 1] AS feature,
+  CASE WHEN s.f < 2 THEN s.b::DOUBLE ELSE s.b / 100.0::DOUBLE END AS edge, n.rows, {half_up("n.value", 2)} AS value
+FROM nodes n LEFT JOIN splits s ON s.node = n.node"""
+
+
+def tree_rows(spark, model: boost.BoostedModel, names: list[str]) -> DataFrame:
+    """The nodes of the first tree: path from the root, split, rows and step."""
+    tree, rows, paths = model.trees[0], [], [(0, "")]
+    while paths:
+        node, path = paths.pop()
+        feature = int(tree.feature[node])
+        split = (None, None) if feature < 0 else (names[feature], float(model.edges[feature][tree.bin[node]]))
+        rows.append((path, *split, int(tree.rows[node]), float(tree.value[node])))
+        if feature >= 0:
+            paths += [(int(tree.left[node]), path + "l"), (int(tree.right[node]), path + "r")]
+    out = spark.createDataFrame(rows, "node string, feature string, edge double, rows long, value double")
+    return out.withColumn("value", F.round("value", 2))
+
+
+def first_tree(key: str, settings: boost.Settings, leaves: int):
+    @query(key, tree_sql(settings.penalty, settings.min_rows, leaves))
+    def run(spark, sf_dir):
+        model = boost.HistogramBoosting(
+            "features", "l_extendedprice", settings, [np.array(e) for e in TREE_EDGES.values()], 0.0,
+        ).fit(line_vectors(spark, sf_dir, *TREE_EDGES))
+        return tree_rows(spark, model, list(TREE_EDGES))
+    return run
+
+
+first_tree("r6_first_tree", boost.Settings(rounds=1, depth=2, rate=1.0), leaves=4)
+first_tree("r7_first_tree", boost.Settings(rounds=1, depth=2, rate=1.0, penalty=0.0, min_rows=20, leaves=3), leaves=2)
+
+
 @query("r8_held_out_scores")
 def r8(spark, sf_dir):
     v, models = fitted(
@@ -248,3 +323,30 @@ FROM c""")
 def r16(spark, sf_dir):
     return contributions(spark, sf_dir).withColumns(
         {c: F.round(c, 6) for c in ("value", "contribution")})
+
+
+@query("r16_tree_contributions")
+def r16_tree(spark, sf_dir):
+    """What each feature adds to each held-out prediction of the explained booster."""
+    v, models = fitted(spark, sf_dir, EXPLAINED)
+    return boost.tree_contributions(v.test, models[EXPLAINED], v.names(), ["user_id"])
+
+
+@query("r16_tree_adds_up", VECTORS_SQL + """
+SELECT user_id, TRUE AS adds_up FROM raw_vectors WHERE NOT is_train""")
+def r16_adds_up(spark, sf_dir):
+    """Contributions and the mean add up to the prediction, user by user."""
+    v, models = fitted(spark, sf_dir, EXPLAINED)
+    model = models[EXPLAINED]
+    total = boost.tree_contributions(v.test, model, v.names(), ["user_id"]).groupBy("user_id").agg(
+        F.sum("contribution").alias("total"))
+    return model.transform(v.test).join(total, "user_id").select(
+        "user_id", (F.abs(F.col("prediction") - F.col("total")) < 1e-9).alias("adds_up"))
+
+
+@query("r15_tree_mean_abs_contribution")
+def r15_tree_contribution(spark, sf_dir):
+    """Mean absolute contribution of each feature over the held-out users."""
+    v, models = fitted(spark, sf_dir, EXPLAINED)
+    parts = boost.tree_contributions(v.test, models[EXPLAINED], v.names(), ["user_id"])
+    return explain.mean_abs_contribution(parts.where("feature <> '(mean)'"))

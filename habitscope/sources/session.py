@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 # A 60-80 column projection fused into one generated method passes the size up to
@@ -17,3 +19,11 @@ def suit_wide_tables(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, defaults[key]) == defaults[key]:
             spark.conf.set(key, value)
     return spark
+
+
+def importable_by_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers of a local session import this package from its source tree; a
+    cluster gets it by ``--py-files`` or an installation."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return spark
