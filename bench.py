@@ -67,7 +67,7 @@ def main() -> None:
         timed(f"report_{name}", lambda: drain(report(users, **limits.get(name, {}))))
 
     features = clustering.prepared(users)
-    timed("elbow", lambda: drain(cluster.elbow(features, V.CLUSTER_FEATURES)))
+    timed("elbow", lambda: drain(cluster.elbow(features, V.CLUSTER_FEATURES, [V.KEY])))
     timed("kmeans", lambda: drain(clustering.radar_profile(
         clustering.clustered(features, clustering.fit(features)))))
     v = regression.vectors(users)

@@ -73,7 +73,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def cluster_users(spark: SparkSession, args: argparse.Namespace) -> None:
     features = clustering.prepared(load(spark, args.input, args.format or "parquet"))
-    preview(keep(cluster.elbow(features, V.CLUSTER_FEATURES), args.output, "elbow").orderBy("k"), "elbow")
+    preview(keep(cluster.elbow(features, V.CLUSTER_FEATURES, [V.KEY]), args.output, "elbow").orderBy("k"), "elbow")
     model = clustering.fit(features, k=args.clusters)
     written = keep(clustering.clustered(features, model), args.output, "users")
     preview(keep(cluster.cluster_sizes(written), args.output, "sizes").orderBy("Cluster"), "sizes")

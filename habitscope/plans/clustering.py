@@ -63,7 +63,7 @@ def prepared(users: DataFrame) -> DataFrame:
 
 
 def fit(features: DataFrame, k: int = V.CLUSTERS) -> PipelineModel:
-    return cluster.fit_clusters(features, V.CLUSTER_FEATURES, k=k)
+    return cluster.fit_clusters(features, V.CLUSTER_FEATURES, [V.KEY], k=k)
 
 
 def clustered(features: DataFrame, model: PipelineModel) -> DataFrame:

@@ -79,7 +79,50 @@ def m4(spark, sf_dir):
 @query("m5_elbow")
 def m5(spark, sf_dir):
     with kept_in_memory(clustering.prepared(clean_users(spark, sf_dir))) as features:
-        return cluster.elbow(features, V.CLUSTER_FEATURES)
+        return cluster.elbow(features, V.CLUSTER_FEATURES, [V.KEY])
+
+
+# From given starting points SQL can take the same steps. Points are whole numbers.
+STARTS = {2: [(5.0, 7.0), (45.0, 28.0)], 3: [(10.0, 7.0), (25.0, 42.0), (40.0, 14.0)],
+          4: [(5.0, 7.0), (15.0, 35.0), (30.0, 21.0), (48.0, 49.0)]}
+
+
+def steps_sql(steps: int) -> str:
+    """Centres c0 (given), c1, ... and for each the nearest one of every point, a0, a1, ..."""
+    given = ", ".join(f"({k}, {i}, {a}::DOUBLE, {b}::DOUBLE)" for k, own in STARTS.items() for i, (a, b) in enumerate(own))
+    text = f"""WITH p AS (SELECT l_quantity::DOUBLE AS a, l_linenumber * 7::DOUBLE AS b, COUNT(*) AS n
+  FROM lineitem GROUP BY 1, 2), c0 AS (SELECT * FROM (VALUES {given}) AS v(k, i, a, b))"""
+    for step in range(steps + 1):
+        text += f""", a{step} AS (SELECT p.*, c.k, c.i, (p.a - c.a) ** 2 + (p.b - c.b) ** 2 AS d FROM p CROSS JOIN c{step} c
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY p.a, p.b, c.k ORDER BY d, c.i) = 1)"""
+        if step < steps:
+            text += f""", c{step + 1} AS (SELECT c.k, c.i, COALESCE(SUM(x.a * x.n) / SUM(x.n), ANY_VALUE(c.a)) AS a,
+  COALESCE(SUM(x.b * x.n) / SUM(x.n), ANY_VALUE(c.b)) AS b
+  FROM c{step} c LEFT JOIN a{step} x ON x.k = c.k AND x.i = c.i GROUP BY 1, 2)"""
+    return text
+
+
+def given_points(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_quantity").cast("double").alias("a"), (F.col("l_linenumber") * 7).cast("double").alias("b"))
+
+
+@query("m5_elbow_given_starts", steps_sql(2) + f"""
+SELECT k::BIGINT AS k, {half_up("SUM(d * n)", 2)} AS cost FROM a2 GROUP BY 1""")
+def m5_given(spark, sf_dir):
+    """Cost of two to four centres after two joint steps."""
+    costs = cluster.lloyd(given_points(spark, sf_dir), ["a", "b"], STARTS, 2)[1]
+    return spark.createDataFrame(list(costs.items()), "k bigint, cost double").withColumn("cost", F.round("cost", 2))
+
+
+@query("m6_one_step", steps_sql(1) + f"""
+SELECT k::BIGINT AS k, i::BIGINT AS i, {half_up("a", 4)} AS a, {half_up("b", 4)} AS b FROM c1""")
+def m6_step(spark, sf_dir):
+    """The centres after one step."""
+    centres = cluster.lloyd(given_points(spark, sf_dir), ["a", "b"], STARTS, 1)[0]
+    rows = [(k, i, *c) for k, own in centres.items() for i, c in enumerate(own)]
+    return spark.createDataFrame(rows, "k bigint, i bigint, a double, b double").withColumns(
+        {c: F.round(c, 4) for c in "ab"})
 
 
 def clustered(spark, sf_dir):

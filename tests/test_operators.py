@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -235,10 +236,10 @@ def blobs(spark):
 
 def test_kmeans_finds_separate_groups_and_sizes_add_up(spark):
     df = blobs(spark)
-    out = cluster.fit_clusters(df, ["x", "y"], k=3).transform(df)
+    out = cluster.fit_clusters(df, ["x", "y"], ["x", "y"], k=3).transform(df)
     sizes = {r["Cluster"]: r["count"] for r in cluster.cluster_sizes(out).collect()}
     assert sorted(sizes.values()) == [100, 100, 100]
-    costs = [r["cost"] for r in cluster.elbow(df, ["x", "y"], range(2, 5)).orderBy("k").collect()]
+    costs = [r["cost"] for r in cluster.elbow(df, ["x", "y"], ["x", "y"], range(2, 5)).orderBy("k").collect()]
     assert all(c >= 0 for c in costs) and costs[1] < costs[0] / 5
 
 
@@ -333,3 +334,41 @@ def test_cache_is_released(spark):
         kept.count()
         assert kept.storageLevel.useMemory
     assert not df.storageLevel.useMemory
+
+
+def test_centres_do_not_depend_on_the_layout(spark):
+    rows = [(i, float(i % 17), float(i * i % 23), float(i % 3)) for i in range(400)]
+    rows += [(500 + i, 5.0, 5.0, 1.0) for i in range(200)]  # copies hold a third of the rows
+    cols = ["x", "y", "z"]
+    found, costs = [], []
+    for parts in (1, 4, 8):
+        df = spark.createDataFrame(rows, "id int, x double, y double, z double").repartition(parts)
+        found.append([c.tolist() for c in cluster.fit_clusters(df, cols, ["id"], k=4).stages[-1].clusterCenters()])
+        costs.append([tuple(r) for r in cluster.elbow(df, cols, ["id"], range(2, 5), max_iter=4).orderBy("k").collect()])
+    assert np.allclose(found[0], found[1], atol=1e-9) and np.allclose(found[0], found[2], atol=1e-9)
+    assert np.allclose(costs[0], costs[1]) and np.allclose(costs[0], costs[2])
+    assert costs[0][0][1] > costs[0][1][1] > costs[0][2][1]
+
+
+def test_joint_steps_are_the_steps_of_each_set(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 40, (300, 2)).astype(float)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double")
+    starts = {2: x[:2].tolist(), 3: [*x[5:7].tolist(), [1e6, 1e6]]}  # one centre never gets a row
+    centres, costs = cluster.lloyd(df, ["a", "b"], starts, 3)
+    for k, own in starts.items():
+        own = np.array(own)
+        for _ in range(3):
+            near = ((x[:, None] - own) ** 2).sum(axis=2).argmin(axis=1)
+            own = np.array([x[near == i].mean(axis=0) if (near == i).any() else own[i] for i in range(k)])
+        assert np.allclose(centres[k], own, atol=1e-5)
+        assert abs(costs[k] - ((x[:, None] - own) ** 2).sum(axis=2).min(axis=1).sum()) < 1e-2
+
+
+def test_clusters_of_edge_tables(spark):
+    schema = "x double, y double"
+    empty = spark.createDataFrame([], schema)
+    assert cluster.lloyd(empty, ["x", "y"], {1: [[0.0, 0.0]]}, 2) == ({1: [[0.0, 0.0]]}, {1: 0.0})
+    assert cluster.candidates(empty, ["x", "y"], ["x"], 2) == ([], [])
+    same = spark.createDataFrame([(1.0, 2.0)] * 5, schema)
+    assert cluster.candidates(same, ["x", "y"], ["x"], 2) == ([[1.0, 2.0]], [5])
