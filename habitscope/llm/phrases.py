@@ -39,7 +39,7 @@ SEGMENT = 1 << 20
 #: Bits of a table of words or prefixes that tasks look at (8 MB).
 BITS = 26
 #: Bytes of phrases, and words, that a task counts together before they go on.
-PHRASE_BYTES, TOGETHER = 1 << 25, 1 << 18
+PHRASE_BYTES, TOGETHER = 1 << 24, 1 << 18
 #: Share of a language's frequent words in the first batch.
 FIRST_SHARE = 0.5
 
@@ -238,18 +238,23 @@ def counted(corpus: DataFrame, lengths: tuple[int, ...], choice: Choice, beside:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {m: [] for m in lengths}
 
-        def batch(m: int) -> pa.RecordBatch:
+        def compact(m: int) -> np.ndarray:
+            """One row for each phrase held: hash, words, count, sides."""
             rows = np.concatenate(held[m])
+            rows = rows[np.argsort(rows[:, 0], kind="stable")]
+            first = np.flatnonzero(np.append(True, np.diff(rows[:, 0]) != 0)) if len(rows) else np.zeros(0, np.int64)
+            out = rows[first]
+            for k, fold in enumerate((np.add, np.minimum, np.maximum, np.minimum, np.maximum)[: 1 + len(sides)]):
+                if len(first):
+                    out[:, 1 + m + k] = fold.reduceat(rows[:, 1 + m + k].astype(np.int64), first).astype(np.uint64)
+            return out
+
+        def batch(m: int) -> pa.RecordBatch:
+            rows = compact(m)
             held[m].clear()
-            words = rows[:, 1:1 + m]
-            order = np.argsort(rows[:, 0], kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(rows[order, 0]) != 0)) if len(order) else order
-            columns = [np.add.reduceat(rows[order, 1 + m].view(np.int64), first) if len(first) else np.zeros(0, np.int64)]
-            for k in range(len(sides)):
-                fold = (np.minimum, np.maximum)[k % 2]
-                columns.append(fold.reduceat(rows[order, 2 + m + k].view(np.int64), first) if len(first) else np.zeros(0, np.int64))
-            ends = np.arange(len(first) + 1, dtype=np.int32) * m
-            phrase = pa.ListArray.from_arrays(pa.array(ends), pa.array(words[order[first]].ravel().view(np.int64)))
+            ends = np.arange(len(rows) + 1, dtype=np.int32) * m
+            phrase = pa.ListArray.from_arrays(pa.array(ends), pa.array(rows[:, 1:1 + m].ravel().view(np.int64)))
+            columns = [rows[:, 1 + m + k].astype(np.int64) for k in range(1 + len(sides))]
             return pa.RecordBatch.from_arrays([phrase, *[pa.array(c) for c in columns]], ["p", "a", *sides])
 
         for part in batches:
@@ -264,8 +269,11 @@ def counted(corpus: DataFrame, lengths: tuple[int, ...], choice: Choice, beside:
             weight = {m: sum(h.nbytes for h in held[m]) for m in lengths}
             while sum(weight.values()) > PHRASE_BYTES:
                 m = max(weight, key=weight.get)
-                yield batch(m)
-                weight[m] = 0
+                held[m] = [compact(m)]
+                weight[m] = held[m][0].nbytes
+                if weight[m] > PHRASE_BYTES // (2 * LONGEST):  # mostly different phrases
+                    yield batch(m)
+                    weight[m] = 0
         for m in lengths:
             if held[m]:
                 yield batch(m)
@@ -392,9 +400,18 @@ def collocations(docs: DataFrame, least: int = 100, most: int = 2000) -> DataFra
         if batch.isEmpty():
             break
         waiting = settled(waiting.join(batch.select("id"), "id", "left_anti"), "waiting")
-        more = _resolved(corpus, batch, words, single, None if found is None else limit, least)
-        found = settled(more if found is None else found.unionByName(more), "phrases")
-        limit = settled(floors(found, most), "floors")
+        grown, known = _grown(corpus, batch, single, least)
+        best = Window.partitionBy("lang").orderBy(F.desc("best"))
+        hopeful = grown if found is None else _reaching(grown, limit)
+        hopeful = settled(hopeful.withColumn("__place", F.row_number().over(best)).where(
+            F.col("__place") <= 2 * most).drop("__place"), "hopeful")
+        for _ in range(2):  # the best bounds of the batch, then what reaches their floor
+            more = _resolved(corpus, hopeful, known)
+            found = settled(more if found is None else found.unionByName(more), "phrases")
+            limit = settled(floors(found, most), "floors")
+            hopeful = settled(_reaching(grown, limit).join(hopeful.select("p"), "p", "left_anti"), "hopeful")
+            if hopeful.isEmpty():
+                break
 
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     first = words.select("lang", F.lit(None).cast("array<long>").alias("p")).limit(0) if found is None else \
@@ -402,9 +419,14 @@ def collocations(docs: DataFrame, least: int = 100, most: int = 2000) -> DataFra
     return _spelled(first, words, most)
 
 
-def _resolved(corpus: DataFrame, batch: DataFrame, words: DataFrame, single: DataFrame, limit: DataFrame | None,
-              least: int) -> DataFrame:
-    """The surviving phrases that begin with a word of ``batch``, with their scores."""
+def _reaching(phrases: DataFrame, limit: DataFrame) -> DataFrame:
+    """Phrases whose bound ``best`` reaches their language's floor, if it has one."""
+    return phrases.join(limit, "lang", "left").where(F.col("best") >= F.coalesce("floor", F.lit(0))).drop("floor")
+
+
+def _grown(corpus: DataFrame, batch: DataFrame, single: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The frequent phrases that begin with a word of ``batch``, with ``best``, the score of
+    their last cut, which no cut's least exceeds; and the counts known so far."""
     firsts = bit_table(batch.select(F.array("id").alias("p")))
     enough = F.col("a") >= least
     levels, shorter = [], {}
@@ -413,29 +435,29 @@ def _resolved(corpus: DataFrame, batch: DataFrame, words: DataFrame, single: Dat
         levels.append(level)
         if lengths != (LONGEST - 1, LONGEST):
             shorter[lengths[0]] = bit_table(level)
-    grown = reduce(DataFrame.unionByName, levels)
     # A first word that only the bit table takes for one of the batch belongs to another batch.
     own = batch.select(F.col("id").alias("__first"), "lang", "n")
-    grown = settled(grown.join(own, F.element_at("p", 1) == F.col("__first")).drop("__first"), "grown")
-    hopeful = grown
-    if limit is not None:
-        last = grown.select("p", "a", "n", "lang", F.slice("p", F.lit(1), F.size("p") - 1).alias("left"),
-                            F.slice("p", F.size("p"), F.lit(1)).alias("right"))
-        known = single.unionByName(grown.select("p", F.col("a").alias("f")))
-        hopeful = _with_counts(last, known).withColumn("best", _score("a", "n", "l", "r")).join(limit, "lang", "left") \
-            .where(F.col("best") >= F.coalesce("floor", F.lit(0))).select("p", "a", "n", "lang")
-        hopeful = settled(hopeful, "hopeful")
+    grown = settled(reduce(DataFrame.unionByName, levels).join(own, F.element_at("p", 1) == F.col("__first")).drop("__first"),
+                    "grown")
+    known = single.unionByName(grown.select("p", F.col("a").alias("f")))
+    last = grown.select("p", "a", "n", "lang", F.slice("p", F.lit(1), F.size("p") - 1).alias("left"),
+                        F.slice("p", F.size("p"), F.lit(1)).alias("right"))
+    bounded = _with_counts(last, known).withColumn("best", _score("a", "n", "l", "r"))
+    return settled(bounded.select("p", "a", "n", "lang", "best"), "bounded"), known
+
+
+def _resolved(corpus: DataFrame, hopeful: DataFrame, known: DataFrame) -> DataFrame:
+    """The surviving ones of ``hopeful``, with their scores."""
     ends = F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda k: F.slice("p", k, F.size("p") - k + 1))
     wanted = settled(hopeful.select(F.explode(ends).alias("p")).distinct(), "wanted")
     seen = counted(corpus, tuple(range(2, LONGEST + 1)), listed(bit_table(wanted)), beside=True)
     seen = settled(seen.join(wanted, "p", "left_semi"), "seen")
 
-    known = single.unionByName(grown.select("p", F.col("a").alias("f"))).unionByName(
-        seen.select("p", F.col("a").alias("f"))).distinct()
+    counts = known.unionByName(seen.select("p", F.col("a").alias("f"))).distinct()
     longer = (F.col("low_before") == F.col("high_before")) & (F.col("low_before") != 0) \
         | (F.col("low_after") == F.col("high_after")) & (F.col("low_after") != 0)
     alive = hopeful.join(seen.where((F.size("p") == LONGEST) | ~longer).select("p"), "p", "left_semi")
-    scored = _with_counts(_cuts(alive), known).withColumn("score", _score("a", "n", "l", "r"))
+    scored = _with_counts(_cuts(alive), counts).withColumn("score", _score("a", "n", "l", "r"))
     return scored.groupBy("p").agg(
         F.min_by(F.struct("lang", "a", "l", "r", "n", "score", "k"), F.struct("score", "k")).alias("x")).select(
         "p", "x.lang", "x.a", "x.l", "x.r", "x.n", "x.score", F.col("x.k").cast("int").alias("cut"))
