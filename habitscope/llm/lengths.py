@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from habitscope.llm.words import slices, word_tokens
+from habitscope.sources.scratch import settled
 
 
 def encoded_lengths(docs: DataFrame, vocabulary: str, text: str = "text", end_tokens: int = 1) -> DataFrame:
@@ -38,9 +39,12 @@ def length_histogram(lengths: DataFrame, tokens: str = "tokens", width: int = 25
     kept if longer documents are cut there, and ``lost`` are cut off.
 
     Sums run inside ranges of ``width`` lengths and then over the ranges, so no task sorts
-    the whole histogram. An empty table gives no rows.
+    the whole histogram. The counts are settled, because both read them: texts are encoded
+    once. An empty table gives no rows; rows with a null length count nowhere.
     """
-    counts = lengths.groupBy(F.col(tokens).cast("long").alias("length")).agg(F.count("*").alias("n_docs"))
+    counts = settled(
+        lengths.where(F.col(tokens).isNotNull()).groupBy(F.col(tokens).cast("long").alias("length"))
+        .agg(F.count("*").alias("n_docs")), "length-counts")
     counts = counts.withColumn("n_tokens", F.col("length") * F.col("n_docs")) \
         .withColumn("__range", F.expr(f"length div {width}"))
     later = Window.orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)
