@@ -9,12 +9,13 @@ from operator import add
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from habitscope.functions.columns import key_fraction, range_scaled
 from habitscope.operators.encode import standard_scaler
+from habitscope.operators.moments import components, moments, scores
 from habitscope.sources.scratch import settled
 
 
@@ -218,19 +219,12 @@ def spread_across_groups(
 
 
 def project_2d(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """First two principal components of the standardised features, every row,
-    with the share of variance each explains. A component's sign is arbitrary."""
-    stages = [
-        *scaling_stages(features),
-        PCA(k=2, inputCol="scaled_features", outputCol="components"),
-    ]
-    model = Pipeline(stages=stages).fit(df)
-    explained = model.stages[-1].explainedVariance
-    parts = vector_to_array("components")
-    return model.transform(df).select(
-        *keep,
-        parts.getItem(0).alias("PC1"),
-        parts.getItem(1).alias("PC2"),
-        F.lit(float(explained[0])).alias("PC1_variance"),
-        F.lit(float(explained[1])).alias("PC2_variance"),
+    """First two principal components of the standardised features, with the share of
+    variance each explains; see ``moments.components``. Rows with a NULL or NaN feature
+    are left out. Two rows at least are needed."""
+    whole = df.dropna(subset=list(features))
+    found = components(moments(whole, features), 2)
+    return scores(whole, features, found).select(
+        *keep, "PC1", "PC2",
+        F.lit(float(found.shares[0])).alias("PC1_variance"), F.lit(float(found.shares[1])).alias("PC2_variance"),
     )

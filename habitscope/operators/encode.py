@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from habitscope.functions import columns as C
 from habitscope.operators.onerow import STATS, attach_one_row, stat
@@ -61,6 +61,10 @@ def label_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+#: A map is searched from its start, so only short ones replace a join.
+MAP_LABELS = 64
+
+
 def frequency_index(
     df: DataFrame, cols: Sequence[str], invalid: str = "keep", suffix: str = "_idx",
     fitted: DataFrame | None = None,
@@ -69,25 +73,36 @@ def frequency_index(
     (= number of labels); ``skip``: such rows are dropped.
 
     ``fitted`` is an earlier ``label_ranks``, to index one table by another's
-    frequencies. The label table is settled, so Spark knows its bytes: it broadcasts a
-    small one by its own check and else shuffles, splitting skewed partitions at run time.
+    frequencies. The label table is settled. Columns of at most MAP_LABELS labels are looked up
+    in maps that arrive as one row, without a join. Of the others Spark knows the bytes: it
+    broadcasts a small table by its own check and else shuffles, splitting skewed
+    partitions at run time.
     """
     ranks = settled(label_ranks(df, cols) if fitted is None else fitted, "label-ranks")
     sizes = {
         r["column"]: r["n"]
         for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
     }
+    few = [c for c in cols if sizes.get(c, 0) <= MAP_LABELS]
     out = df
+    if few:
+        def of(c: str) -> Column:
+            pairs = F.collect_list(F.when(F.col("column") == c, F.struct("label", "idx")))
+            return F.map_from_entries(pairs).alias(c)
+
+        maps = ranks.where(F.col("column").isin(few)).agg(*[of(c) for c in few])
+        out = attach_one_row(out, maps).withColumns(
+            {c + suffix: F.element_at(stat(c), F.col(c).cast("string")) for c in few}).drop(STATS)
     for c in cols:
-        n = sizes.get(c, 0)
-        side = ranks.filter(F.col("column") == c).select(
-            F.col("label").alias(f"label_of_{c}"), F.col("idx").alias(c + suffix)
-        )
-        how = "inner" if invalid == "skip" else "left"
-        out = out.join(side, F.col(c) == F.col(f"label_of_{c}"), how).drop(f"label_of_{c}")
-        if invalid == "keep":
-            out = out.withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(float(n))))
-    return out
+        if c not in few:
+            side = ranks.filter(F.col("column") == c).select(
+                F.col("label").alias(f"label_of_{c}"), F.col("idx").alias(c + suffix)
+            )
+            out = out.join(side, F.col(c) == F.col(f"label_of_{c}"), "left").drop(f"label_of_{c}")
+    if invalid == "skip":
+        return out.dropna(subset=[c + suffix for c in cols])
+    return out.withColumns(
+        {c + suffix: F.coalesce(F.col(c + suffix), F.lit(float(sizes.get(c, 0)))) for c in cols})
 
 
 # -- one-hot, vectors, scalers ----------------------------------------------------------

@@ -5,37 +5,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from habitscope.operators.boost import HistogramBoosting, Settings
+from habitscope.operators.moments import LinearFit, SharedMoments
 
 
-def ols(features: str, label: str) -> LinearRegression:
-    return LinearRegression(featuresCol=features, labelCol=label)
+def linear_fits(
+    train: DataFrame, features: str, label: str, ridge: float = 1.0, lasso: float = 0.1
+) -> dict[str, LinearFit]:
+    """Three linear members, which share one scan of ``train``.
 
-
-def ridge(train: DataFrame, features: str, label: str, alpha: float = 1.0) -> LinearRegression:
-    """Minimises ``|y - Xw|^2 + alpha |w|^2`` (intercept not penalised).
-
-    Spark divides the loss by n and scales the penalty by the label's deviation,
-    so the equivalent setting is ``alpha * sd(y) / n``: two numbers from one pass.
-    """
-    n, sd = train.agg(F.count(label), F.stddev_pop(label)).first()
-    return LinearRegression(
-        featuresCol=features, labelCol=label, elasticNetParam=0.0,
-        regParam=alpha * (sd or 0.0) / max(n, 1), standardization=False,
-    )
-
-
-def lasso(
-    features: str, label: str, alpha: float = 0.1, max_iter: int = 2000
-) -> LinearRegression:
-    """Minimises ``|y - Xw|^2 / 2n + alpha |w|_1``."""
-    return LinearRegression(
-        featuresCol=features, labelCol=label, elasticNetParam=1.0, regParam=alpha,
-        maxIter=max_iter, tol=1e-10, standardization=False,
-    )
+    Ridge minimises ``|y - Xw|^2 + alpha |w|^2``, lasso ``|y - Xw|^2 / 2n + alpha |w|_1``; no
+    intercept is penalised. Rows without a label or vector are left out."""
+    shared = SharedMoments(train, features, label)
+    return {
+        "Linear Regression": LinearFit(shared),
+        "Ridge Regression": LinearFit(shared, "ridge", ridge),
+        "Lasso Regression": LinearFit(shared, "lasso", lasso),
+    }
 
 
 def random_forest(features: str, label: str, trees: int = 100, depth: int = 10, seed: int = 42):
@@ -65,9 +54,7 @@ def seven_regressors(
     """The model line-up. The two histogram boosters take second-order steps on binned
     features; one grows whole levels, the other its best leaf first."""
     return {
-        "Linear Regression": ols(features, label),
-        "Ridge Regression": ridge(train, features, label),
-        "Lasso Regression": lasso(features, label),
+        **linear_fits(train, features, label),
         "Random Forest": random_forest(features, label, trees=trees, seed=seed),
         "Gradient Boosting": boosted_trees(features, label, rounds, depth=5, seed=seed),
         "Histogram Boosting": HistogramBoosting(features, label, Settings(rounds, depth=6, bins=256)),

@@ -172,6 +172,40 @@ def m9_two(spark, sf_dir):
         F.round("PC1_variance", 6).alias("share_1"), F.round("PC2_variance", 6).alias("share_2"))
 
 
+def components_sql(names, count: int, squarings: int = 30) -> str:
+    """Correlations of the features, squared over and over: the columns of the limit lie along
+    the first direction. With that taken out of the matrix, the same gives the next."""
+    own = ", ".join(f"({f} - AVG({f}) OVER ()) / STDDEV_SAMP({f}) OVER ()" for f in names)
+    text = CLUSTER_SQL + f""", z AS MATERIALIZED (SELECT user_id, [{own}] AS v FROM features),
+  long AS MATERIALIZED (SELECT user_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM z),
+  c1 AS MATERIALIZED (SELECT a.i, b.i AS j, CORR(a.x, b.x) AS v FROM long a JOIN long b USING (user_id) GROUP BY 1, 2)"""
+    for k in range(1, count + 1):
+        text += f", s{k}_0 AS MATERIALIZED (SELECT * FROM c{k})"
+        for step in range(squarings):
+            text += f""", s{k}_{step + 1} AS MATERIALIZED (SELECT i, j, v / SUM(v) FILTER (i = j) OVER () AS v FROM (
+  SELECT a.i, b.j, SUM(a.v * b.v) AS v FROM s{k}_{step} a JOIN s{k}_{step} b ON a.j = b.i GROUP BY 1, 2))"""
+        text += f""", d{k} AS MATERIALIZED (SELECT i, v / SQRT(SUM(v * v) OVER ()) AS v FROM s{k}_{squarings}
+    WHERE j = (SELECT i FROM s{k}_{squarings} WHERE i = j ORDER BY v DESC LIMIT 1)),
+  e{k} AS MATERIALIZED (SELECT SUM(a.v * c.v * b.v) AS value FROM c{k} c JOIN d{k} a ON a.i = c.i JOIN d{k} b ON b.i = c.j),
+  c{k + 1} AS MATERIALIZED (SELECT c.i, c.j, c.v - value * a.v * b.v AS v
+    FROM c{k} c JOIN d{k} a ON a.i = c.i JOIN d{k} b ON b.i = c.j, e{k}),
+  p{k} AS MATERIALIZED (SELECT user_id, ABS(SUM(x * v)) AS size FROM long JOIN d{k} USING (i) GROUP BY 1)"""
+    return text
+
+
+@query("m9_two_components_sizes", components_sql(V.CLUSTER_FEATURES, 2) + f"""
+SELECT user_id, {half_up("p1.size", 5)} AS size_1, {half_up("p2.size", 5)} AS size_2,
+  {half_up(f"e1.value / {len(V.CLUSTER_FEATURES)}", 6)} AS share_1,
+  {half_up(f"e2.value / {len(V.CLUSTER_FEATURES)}", 6)} AS share_2
+FROM p1 JOIN p2 USING (user_id), e1, e2""")
+def m9_sizes(spark, sf_dir):
+    """Components of all the features, compared by size."""
+    parts = m9(spark, sf_dir)
+    return parts.select(
+        "user_id", F.round(F.abs("PC1"), 5).alias("size_1"), F.round(F.abs("PC2"), 5).alias("size_2"),
+        F.round("PC1_variance", 6).alias("share_1"), F.round("PC2_variance", 6).alias("share_2"))
+
+
 AXES = ["daily_active_minutes_instagram", "reels_watched_per_day", "followers_count"]
 CENTRES = [(90.0, 5.0, 500.0), (150.0, 15.0, 1500.0), (250.0, 20.0, 2500.0), (120.0, 10.0, 42000.0)]
 NEAREST_SQL = CLUSTER_SQL + ", inputs2 AS (SELECT inputs.*, " + ", ".join(

@@ -5,10 +5,9 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
-from habitscope.operators import boost, encode, evaluate, explain, regress
+from habitscope.operators import boost, encode, evaluate, explain, moments, regress
 from habitscope.plans import fixed_values as V
 from habitscope.plans import regression
 from habitscope.registry.catalog import query
@@ -24,7 +23,7 @@ def line_vectors(spark, sf_dir, *features: str) -> DataFrame:
     return encode.assemble(lines, features, "features")
 
 
-def coefficients(spark, model: LinearRegressionModel, names, **extra) -> DataFrame:
+def coefficients(spark, model: moments.LinearFitModel, names, **extra) -> DataFrame:
     """The fitted parameters as rows: a handful of numbers from the model."""
     rows = [(n, float(v)) for n, v in zip(names, model.coefficients)]
     rows.append(("intercept", float(model.intercept)))
@@ -47,8 +46,8 @@ UNION ALL SELECT 'l_linenumber', """ + half_up("w2", 4) + """ FROM w
 UNION ALL SELECT 'intercept', """ + half_up("my - w1 * m1 - w2 * m2", 3) + " FROM w")
 def r1(spark, sf_dir):
     names = ["l_quantity", "l_linenumber"]
-    model = regress.ols("features", "l_extendedprice").fit(line_vectors(spark, sf_dir, *names))
-    out = coefficients(spark, model, names)
+    lines = line_vectors(spark, sf_dir, *names)
+    out = coefficients(spark, regress.linear_fits(lines, "features", "l_extendedprice")["Linear Regression"].fit(lines), names)
     digits = F.when(F.col("term") == "intercept", F.round("value", 3)).otherwise(F.round("value", 4))
     return out.withColumn("value", digits)
 
@@ -59,12 +58,9 @@ RIDGE_ALPHAS = [1.0, 1000.0, 50000.0]
 @query("r2_ridge", MOMENTS + " SELECT a AS alpha, " + half_up("n * c1 / (n * v1 + a)", 4) + """ AS slope
 FROM m, (SELECT UNNEST([1.0::DOUBLE, 1000.0::DOUBLE, 50000.0::DOUBLE]) AS a)""")
 def r2(spark, sf_dir):
-    data = line_vectors(spark, sf_dir, "l_quantity").persist()
-    slopes = [
-        (a, float(regress.ridge(data, "features", "l_extendedprice", alpha=a).fit(data).coefficients[0]))
-        for a in RIDGE_ALPHAS
-    ]
-    data.unpersist()
+    """All penalties from one scan."""
+    m = moments.moments(table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice")
+    slopes = [(a, float(moments.ridge(m, a)[0])) for a in RIDGE_ALPHAS]
     return spark.createDataFrame(slopes, "alpha double, slope double").withColumn(
         "slope", F.round("slope", 4))
 
@@ -76,16 +72,25 @@ LASSO_ALPHAS = [0.1, 100.0, 500.0]
        + half_up("SIGN(c1) * GREATEST(ABS(c1) - a, 0) / v1", 4) + """ AS slope
 FROM m, (SELECT UNNEST([0.1::DOUBLE, 100.0::DOUBLE, 500.0::DOUBLE]) AS a)""")
 def r3(spark, sf_dir):
-    data = line_vectors(spark, sf_dir, "l_quantity").persist()
-    slopes = [
-        (a, float(regress.lasso("features", "l_extendedprice", alpha=a).fit(data).coefficients[0]))
-        for a in LASSO_ALPHAS
-    ]
-    data.unpersist()
+    """All penalties from one scan."""
+    m = moments.moments(table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice")
+    slopes = [(a, float(moments.lasso(m, a)[0])) for a in LASSO_ALPHAS]
     return spark.createDataFrame(slopes, "alpha double, slope double").withColumn(
         "slope", F.round("slope", 4))
 
 
+# The covariances that all three fits of the line-up start from, on its 16 scaled features.
+@query("r1_covariances", VECTORS_SQL + ", z AS (SELECT user_id, [" + ", ".join(
+    f"x_{i} / sd_{i}" for i in range(16)) + f""", label::DOUBLE] AS v FROM raw_vectors, sd WHERE is_train),
+long AS (SELECT user_id, generate_subscripts(v, 1) - 1 AS i, unnest(v) AS x FROM z)
+SELECT a.i::INT AS i, b.i::INT AS j, COUNT(*) AS n, {half_up("COVAR_POP(a.x, b.x)", 6)} AS covariance
+FROM long a JOIN long b USING (user_id) GROUP BY 1, 2, a.i, b.i""")
+def r1_covariances(spark, sf_dir):
+    rows = moments.covariances(shared_vectors(spark, sf_dir).train, regression.FEATURES, "label")
+    return rows.select("i", "n", F.posexplode("with").alias("j", "c")).select(
+        "i", "j", "n", F.round("c", 6).alias("covariance"))
+
+
 # -- the line-up on the stress score --------------------------------------------------------
 
 @lru_cache(maxsize=2)
@@ -93,12 +98,17 @@ def shared_vectors(spark, sf_dir):
     return regression.vectors(clean_users(spark, sf_dir))
 
 
+@lru_cache(maxsize=2)
+def shared_line_up(spark, sf_dir):
+    return regress.seven_regressors(shared_vectors(spark, sf_dir).train, regression.FEATURES, "label")
+
+
 @lru_cache(maxsize=14)
 def shared_model(spark, sf_dir, name: str):
     """One member of the line-up. The queries of a session that need it share the fit."""
     use_checkpoints(spark)
     train = shared_vectors(spark, sf_dir).train
-    return regress.seven_regressors(train, regression.FEATURES, "label")[name].fit(train)
+    return shared_line_up(spark, sf_dir)[name].fit(train)
 
 
 def fitted(spark, sf_dir, *names: str):
@@ -276,9 +286,7 @@ def r14(spark, sf_dir):
 @query("r14_seven_models")
 def r14_seven(spark, sf_dir):
     """The whole bake-off: seven models scored on the held-out users."""
-    v = shared_vectors(spark, sf_dir)
-    names = regress.seven_regressors(v.train, regression.FEATURES, "label")
-    return regression.bake_off(v, fitted(spark, sf_dir, *names)[1])
+    return regression.bake_off(*fitted(spark, sf_dir, *shared_line_up(spark, sf_dir)))
 
 
 # The booster that splits at leaves is the one explained.
