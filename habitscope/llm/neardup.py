@@ -4,7 +4,7 @@ Two random permutations of a hashed universe make every signature coordinate: th
 scatters a document's shingles, the second is shifted circularly by k for coordinate k, so
 a shingle's K values are K neighbours in one array. Bands of coordinates are bucketed.
 
-Copies with equal shingle sets are one class. In each bucket every class is compared with
+Copies with equal shingle sets are one class, named by the number of its first row. In each bucket every class is compared with
 a pivot on full sets, and several pivot orders keep a bucket from hanging on one class.
 Classes of a bucket that are not yet in one component are then compared exactly: pair by
 pair in small buckets; in large ones those outside the largest component go against all,
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from habitscope.llm.shard import numbered
 from habitscope.llm.words import mixed, slices, text_bytes, word_hashes, word_spans
 from habitscope.sources.scratch import settled
 
@@ -84,7 +85,10 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, a 128-bit set digest ``hi``, ``lo``, ``bands``."""
+    """``doc_id``, ``row_number``, ``text_hash``, ``n_shingles``, a 128-bit set digest ``hi``,
+    ``lo``, ``bands``."""
+    given = ("doc_id", "row_number", "text_hash")
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             n, digests, bands = [], [], []
@@ -96,13 +100,12 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([len(b) for b in bands])]).astype(np.int32)
             keys = pa.array(np.concatenate(bands).view(np.int64) if bands else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("doc_id")),
-                 part.column(part.schema.get_field_index("text_hash")), pa.array(n, pa.int64()),
+                [*[part.column(part.schema.get_field_index(c)) for c in given], pa.array(n, pa.int64()),
                  pa.array(both[:, 0]), pa.array(both[:, 1]), pa.ListArray.from_arrays(pa.array(ends), keys)],
-                ["doc_id", "text_hash", "n_shingles", "hi", "lo", "bands"])
+                [*given, "n_shingles", "hi", "lo", "bands"])
 
     return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        sketch, "doc_id long, text_hash long, n_shingles long, hi long, lo long, bands array<long>")
+        sketch, "doc_id long, row_number long, text_hash long, n_shingles long, hi long, lo long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
@@ -165,7 +168,7 @@ def _open(members: DataFrame) -> DataFrame:
 def _shared(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``id``, ``shared``: how many of its shingles another of the ``members`` has too. No
     intersection can be larger, which bounds similarity before any pair is formed."""
-    here = sets.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    here = sets.join(members.select("id").distinct(), "id", "left_semi")
     alone = (
         here.select("id", F.explode("shingles").alias("shingle"))
         .groupBy("shingle").agg(F.min("id").alias("id"), F.count("*").alias("times")).where("times = 1")
@@ -195,10 +198,9 @@ def _links_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataF
 
     strays = placed.where("part <> major").withColumn("x", block("stray_blocks", 1)).withColumn("y", each("blocks"))
     every = placed.withColumn("y", block("blocks", 2)).withColumn("x", each("stray_blocks"))
-    unique = sets.dropDuplicates(["id"])
     columns = ("id", "key", "x", "y", "part", "shingles")
     strays, every = (  # renamed apart: both sides of the cogroup come from one table
-        f.select("key", "x", "y", "id", "part").join(unique, "id").select(*columns).toDF(*columns) for f in (strays, every))
+        f.select("key", "x", "y", "id", "part").join(sets, "id").select(*columns).toDF(*columns) for f in (strays, every))
 
     def compare(some: pd.DataFrame, all_: pd.DataFrame) -> pd.DataFrame:
         found: list[np.ndarray] = []
@@ -229,16 +231,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     Documents are linked if their sets of ``size``-word shingles have a Jaccard similarity
     of ``percent`` / 100 or more. ``component_id`` is the least doc_id reachable, ``kept``
     says that it is the row's own. A null, empty or blank text is linked with nothing.
-    Rows with one doc_id are one document. A row without doc_id belongs to the component of
-    its set's other rows and is not kept; a set of such rows alone is linked with nothing,
-    its component_id is null and it is kept.
+    Texts are linked, not ids: of rows with one doc_id each has the component of its own text,
+    so one of them can be kept where another is a duplicate. A row without doc_id belongs to
+    the component of its set's other rows and is not kept; a set of such rows alone is linked
+    with nothing, its component_id is null and it is kept. An empty table gives no rows.
     Missing a link takes 32 failed bands of 5: a chance of 3e-6 at exactly 0.8, less above.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs, _ = numbered(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     rows = settled(sketches(docs, size), "sketches")
     classes = settled(
         rows.where("n_shingles > 0").groupBy("hi", "lo").agg(
-            F.min("doc_id").alias("least"), F.coalesce(F.min("doc_id"), F.col("hi")).alias("id"),
+            F.min("doc_id").alias("least"), F.min("row_number").alias("id"),
             F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     buckets = classes.where("least IS NOT NULL").select("id", "n", F.posexplode("bands").alias("band", "key"))
     mask = F.element_at(F.array(*[F.lit(m).cast("long") for m in ORDERS]), F.col("band") % len(ORDERS) + 1)
@@ -249,7 +252,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     tested = settled(members.where("id <> pivot").select(
         F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "tested")
     wanted = members.select("id").distinct()
-    texts = docs.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
+    texts = docs.select(F.col("row_number").alias("id"), "text").join(wanted, "id", "left_semi")
     sets = settled(sets_of(texts, size), "sets")
     links = settled(_confirmed(tested, sets, percent), "links")
 

@@ -105,6 +105,18 @@ def test_edges(docs, edges):
     assert neardup.near_duplicates(docs([])).count() == 0
 
 
+def test_rows_of_one_doc_id_have_the_component_of_their_text(docs):
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(1, words("a", 60)), (5, words("a", 62)), (5, words("u", 30)), (5, words("u", 30)),
+            (6, words("u", 31)), (1, words("z", 12)), (9, words("z", 13)), (None, words("u", 30))]
+    found = neardup.near_duplicates(docs(rows), size=4).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in found) == [
+        (0, 27, 5, False), (1, 9, 1, True), (1, 57, 1, True), (5, 27, 5, True), (5, 27, 5, True),
+        (5, 59, 1, False), (6, 28, 5, False), (9, 10, 1, False)]
+
+
 def test_components(spark):
     pairs = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 3), (20, 21), (22, 21)] + [(100 + i, 101 + i) for i in range(40)]
     found = {r.node: r.component for r in neardup.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
