@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
@@ -52,17 +53,18 @@ def tree_importances(df: DataFrame, model: Model, names: Sequence[str]) -> DataF
 
 def permutation_importance(
     df: DataFrame, model: Model, names: Sequence[str], label: str, keys: Sequence[str],
-    features: str = "features", buckets: int = 64, seed: int = 42,
+    features: str = "features", buckets: int | None = None, seed: int = 42, bucket_rows: int = 1000,
 ) -> DataFrame:
     """Rise in RMSE when one feature's values are exchanged between rows.
 
     Rows are spread over ``buckets`` by the hash of their key and, inside each, every
     row takes the values of the next one in another hash order (the last takes the
-    first's): a permutation of the whole table made with one shuffle. Which rows
-    exchange values depends on their keys and ``buckets`` alone, not on the table's
-    size; a table of many rows for each bucket wants more of them. All features are
-    then scored in the same pass.
+    first's): a permutation of the whole table made with one shuffle. Without
+    ``buckets`` there is one for about ``bucket_rows`` rows, so a task's share stays the
+    same however large the table is. All features are then scored in the same pass.
     """
+    if buckets is None:
+        buckets = max(1, math.ceil(df.count() / bucket_rows))
     bucket = F.floor(key_fraction(*keys, seed=seed) * F.lit(buckets))
     order = Window.partitionBy("bucket").orderBy(key_fraction(*keys, seed=seed + 1), *keys)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql import types as T
 
 from habitscope.functions import columns as C
@@ -108,25 +108,26 @@ def cleaning_rules() -> dict[str, Column]:
     return rules
 
 
-def count_stages(seen: DataFrame) -> DataFrame:
-    """One row of stage counts from the typed one-row-per-user table, whose
-    ``copies`` column holds the raw records seen for the user."""
+def stage_sums() -> list[Column]:
+    """Stage counts as aggregates of the typed one-row-per-user table, whose ``copies``
+    column holds the raw records seen for the user."""
     complete = clean.is_complete(V.REQUIRED) == 1
     kept = complete & clean.in_ranges(V.ACCEPTED_RANGES) & (
         F.col("gender") != F.lit(V.EXCLUDED_GENDER)
     )
-    return seen.agg(
+    return [
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.count(F.lit(1)).alias("distinct_users"),
         F.count_if(complete).alias("after_nulls"),
         F.count_if(kept).alias("clean_rows"),
-    ).withColumn("removed_rows", F.col("raw_rows") - F.col("clean_rows"))
+    ]
 
 
 def stage_counts(raw: DataFrame, prefer: Sequence[Column] = ()) -> DataFrame:
     """Rows raw, after dedupe, after null removal, after the range filters, and
     removed in all: a single pass over the raw table."""
-    return count_stages(one_record_per_user(typed(raw), prefer, copies="copies"))
+    counts = one_record_per_user(typed(raw), prefer, copies="copies").agg(*stage_sums())
+    return counts.withColumn("removed_rows", F.col("raw_rows") - F.col("clean_rows"))
 
 
 def run_cleaning(raw: DataFrame, output: str, fmt: str = "parquet",
@@ -134,12 +135,16 @@ def run_cleaning(raw: DataFrame, output: str, fmt: str = "parquet",
     """Write the 80-column table and return the row counts of every stage.
 
     The raw table is read and shuffled once: the typed one-row-per-user table goes
-    to the shared scratch folder, and the counts, the label frequencies and the
-    final write each read just the columns they need from there. It also ends the
-    lineage, so a lost executor never sends the job back to the raw file.
+    to the shared scratch folder, the counts are observed in that write, and the label
+    frequencies and the final write each read just the columns they need from there. It
+    also ends the lineage, so a lost executor never sends the job back to the raw file.
+    The observation is the last step before the write: a task that runs again counts once.
     """
-    seen = settled(one_record_per_user(typed(raw), prefer, copies="copies"), "users-typed")
-    counts = count_stages(seen).first().asDict()
+    stages = Observation("stages")
+    seen = settled(
+        one_record_per_user(typed(raw), prefer, copies="copies").observe(stages, *stage_sums()), "users-typed")
+    counts = dict(stages.get)
+    counts["removed_rows"] = counts["raw_rows"] - counts["clean_rows"]
     users = accepted(clean.require_columns(seen.drop("copies"), V.REQUIRED))
     out = encode.frequency_index(with_derived(encoded(users)), V.NOMINAL_COLUMNS, invalid="keep")
     (tables.write_csv if fmt == "csv" else tables.write_parquet)(out, output)

@@ -117,3 +117,10 @@ def test_accepted_ranges_and_codes_are_these():
                                  "two_factor_auth_enabled", "biometric_login_used"}
     assert set(V.ORDINAL_CODES) == {"income_level", "diet_quality", "alcohol_frequency", "privacy_setting_level",
                                     "education_level"}
+
+
+def test_cleaning_job_of_an_empty_table(spark, tmp_path):
+    raw = dataset.raw_users(spark, SF).where("user_id < 0")
+    counts = plan.run_cleaning(raw, str(tmp_path / "none"), prefer=[F.col("record_id")])
+    assert counts == {c: 0 for c in ("raw_rows", "distinct_users", "after_nulls", "clean_rows", "removed_rows")} | {
+        "columns": counts["columns"]}
