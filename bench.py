@@ -71,7 +71,7 @@ def main() -> None:
     timed("kmeans", lambda: drain(clustering.radar_profile(
         clustering.clustered(features, clustering.fit(features)))))
     v = regression.vectors(users)
-    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label")
+    line_up = regress.seven_regressors(v.train, regression.FEATURES, "label", keys=[V.KEY])
     use_checkpoints(spark)
     models = {}
     for name, estimator in line_up.items():

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from habitscope.operators.boost import HistogramBoosting, Settings
+from habitscope.operators.forest import BaggedForest
 from habitscope.operators.moments import LinearFit, SharedMoments
 
 
@@ -27,12 +28,12 @@ def linear_fits(
     }
 
 
-def random_forest(features: str, label: str, trees: int = 100, depth: int = 10, seed: int = 42):
-    """Every split looks at all features, as is usual for regression forests."""
-    return RandomForestRegressor(
-        featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed,
-        featureSubsetStrategy="all",
-    )
+def random_forest(
+    features: str, label: str, trees: int = 100, depth: int = 10, seed: int = 42, keys: Sequence[str] = (),
+) -> BaggedForest:
+    """Every split looks at all features, as is usual for regression forests. Rows are
+    drawn by ``keys``, so the trees are the same in any partition layout."""
+    return BaggedForest(features, label, tuple(keys), trees, depth, seed=seed)
 
 
 def boosted_trees(
@@ -49,13 +50,13 @@ def boosted_trees(
 
 def seven_regressors(
     train: DataFrame, features: str, label: str, trees: int = 100, rounds: int = 100,
-    seed: int = 42,
+    seed: int = 42, keys: Sequence[str] = (),
 ) -> dict[str, Estimator]:
-    """The model line-up. The two histogram boosters take second-order steps on binned
+    """The model line-up. The forest draws its rows by ``keys``. The two histogram boosters take second-order steps on binned
     features; one grows whole levels, the other its best leaf first."""
     return {
         **linear_fits(train, features, label),
-        "Random Forest": random_forest(features, label, trees=trees, seed=seed),
+        "Random Forest": random_forest(features, label, trees=trees, seed=seed, keys=keys),
         "Gradient Boosting": boosted_trees(features, label, rounds, depth=5, seed=seed),
         "Histogram Boosting": HistogramBoosting(features, label, Settings(rounds, depth=6, bins=256)),
         "Leafwise Boosting": HistogramBoosting(

@@ -101,7 +101,7 @@ def fit_models(
     v: Vectors, trees: int = 100, rounds: int = 100, seed: int = 42
 ) -> dict[str, Model]:
     use_checkpoints(v.train.sparkSession)
-    line_up = regress.seven_regressors(v.train, FEATURES, "label", trees, rounds, seed)
+    line_up = regress.seven_regressors(v.train, FEATURES, "label", trees, rounds, seed, [V.KEY])
     return regress.fit_all(v.train, line_up)
 
 

@@ -142,6 +142,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The tables that users are made of.
+RAW_TABLES = ("orders", "lineitem", "nation")
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines are summed per order before they meet the orders, and both sides of
     that join are then unique in its key, so no order can be hot. The orders are

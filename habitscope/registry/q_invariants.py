@@ -73,17 +73,17 @@ SELECT user_id, 1::BIGINT AS predictions, TRUE AS inside FROM raw_vectors WHERE
 def r4(spark, sf_dir):
     """One prediction for each held-out user, inside the range of the training labels."""
     v = regression.vectors(clean_users(spark, sf_dir))
-    model = regress.random_forest(regression.FEATURES, "label").fit(v.train)
+    model = regress.random_forest(regression.FEATURES, "label", keys=[V.KEY]).fit(v.train)
     low, high = v.train.agg(F.min("label"), F.max("label")).first()
     return regress.predict_all({"forest": model}, v.test, ["user_id"]).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("predictions"),
-        F.bool_and(F.col("prediction").between(low, high)).alias("inside"))
+        F.bool_and(F.col("prediction").between(low - 1e-9, high + 1e-9)).alias("inside"))
 
 
 @query("r15_importances_sum", "SELECT 16::BIGINT AS features, 1.0::DOUBLE AS total")
 def r15(spark, sf_dir):
     """One importance for each feature; they add up to one."""
     v = regression.vectors(clean_users(spark, sf_dir))
-    model = regress.random_forest(regression.FEATURES, "label").fit(v.train)
+    model = regress.random_forest(regression.FEATURES, "label", keys=[V.KEY]).fit(v.train)
     return explain.tree_importances(v.train, model, v.names()).agg(
         F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))

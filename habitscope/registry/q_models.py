@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from habitscope.operators import boost, encode, evaluate, explain, moments, regress
+from habitscope.operators import boost, encode, evaluate, explain, forest, moments, regress
 from habitscope.plans import fixed_values as V
 from habitscope.plans import regression
 from habitscope.registry.catalog import query
-from habitscope.registry.dataset import clean_users, half_up, table
+from habitscope.registry.dataset import RAW_TABLES, clean_users, half_up, table
 from habitscope.registry.q_encode import REGRESSION_SQL, VECTORS_SQL
 from habitscope.sources.scratch import use_checkpoints
 
@@ -93,27 +93,44 @@ def r1_covariances(spark, sf_dir):
 
 # -- the line-up on the stress score --------------------------------------------------------
 
+def files_mark(spark, sf_dir) -> int:
+    """Changes when a file of the tables that users are made of is replaced. No column is read."""
+    marks = [table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size",
+                                               "_metadata.file_modification_time") for name in RAW_TABLES]
+    return reduce(DataFrame.union, marks).distinct().agg(
+        F.coalesce(F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")), F.lit(0))).first()[0]
+
+
 @lru_cache(maxsize=2)
-def shared_vectors(spark, sf_dir):
+def _vectors(spark, sf_dir, mark: int):
     return regression.vectors(clean_users(spark, sf_dir))
 
 
 @lru_cache(maxsize=2)
-def shared_line_up(spark, sf_dir):
-    return regress.seven_regressors(shared_vectors(spark, sf_dir).train, regression.FEATURES, "label")
+def _line_up(spark, sf_dir, mark: int):
+    train = _vectors(spark, sf_dir, mark).train
+    return regress.seven_regressors(train, regression.FEATURES, "label", keys=[V.KEY])
 
 
 @lru_cache(maxsize=14)
-def shared_model(spark, sf_dir, name: str):
-    """One member of the line-up. The queries of a session that need it share the fit."""
+def _model(spark, sf_dir, mark: int, name: str):
     use_checkpoints(spark)
-    train = shared_vectors(spark, sf_dir).train
-    return shared_line_up(spark, sf_dir)[name].fit(train)
+    return _line_up(spark, sf_dir, mark)[name].fit(_vectors(spark, sf_dir, mark).train)
+
+
+def shared_vectors(spark, sf_dir):
+    return _vectors(spark, sf_dir, files_mark(spark, sf_dir))
+
+
+def shared_line_up(spark, sf_dir):
+    return _line_up(spark, sf_dir, files_mark(spark, sf_dir))
 
 
 def fitted(spark, sf_dir, *names: str):
-    """(vectors, models) for the named members of the line-up."""
-    return shared_vectors(spark, sf_dir), {n: shared_model(spark, sf_dir, n) for n in names}
+    """(vectors, models) for the named members of the line-up. The queries of a session
+    share vectors and fits as long as the tables' files stay the same."""
+    mark = files_mark(spark, sf_dir)
+    return _vectors(spark, sf_dir, mark), {n: _model(spark, sf_dir, mark, n) for n in names}
 
 
 def prediction_query(key: str, name: str):
@@ -138,14 +155,15 @@ TREE_EDGES = {
 }
 
 
-def tree_sql(penalty: float, min_rows: int, leaves: int) -> str:
+def tree_sql(penalty: float, min_rows: int, leaves: int, weight: str = "1") -> str:
+    """``weight``: how often a row counts."""
     def term(g: str, n: str) -> str:
         return f"({g}) * ({g}) / ({n} + {penalty})"
 
     def best(rows: str, name: str) -> str:
         return f"""{name}_sums AS (
-  SELECT node, f, b, SUM(y) AS g, COUNT(*)::DOUBLE AS n
-  FROM (SELECT node, y, UNNEST([0, 1, 2, 3]) AS f, UNNEST([f0, f1, f2, f3]) AS b FROM {rows}) GROUP BY ALL),
+  SELECT node, f, b, SUM(y * w) AS g, SUM(w)::DOUBLE AS n
+  FROM (SELECT node, y, w, UNNEST([0, 1, 2, 3]) AS f, UNNEST([f0, f1, f2, f3]) AS b FROM {rows}) GROUP BY ALL),
 {name}_cuts AS (
   SELECT node, f, b, SUM(g) OVER up AS gl, SUM(n) OVER up AS nl, SUM(g) OVER every AS g, SUM(n) OVER every AS n
   FROM {name}_sums WINDOW up AS (PARTITION BY node, f ORDER BY b), every AS (PARTITION BY node, f)),
@@ -155,13 +173,13 @@ def tree_sql(penalty: float, min_rows: int, leaves: int) -> str:
   QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY gain DESC, f, b) = 1)"""
 
     def side(rows: str, split: str, node: str) -> str:
-        return f"""SELECT {node} AS node, y, f0, f1, f2, f3 FROM (
+        return f"""SELECT {node} AS node, y, w, f0, f1, f2, f3 FROM (
     SELECT x.*, CASE s.f WHEN 0 THEN f0 WHEN 1 THEN f1 WHEN 2 THEN f2 ELSE f3 END <= s.b AS low
     FROM {rows} x JOIN {split} s ON s.node = x.node)"""
 
     names = "[" + ", ".join(f"'{n}'" for n in TREE_EDGES) + "]"
     return f"""WITH x AS (
-  SELECT '' AS node, l_extendedprice AS y, l_linenumber::INT AS f0, l_quantity::INT AS f1,
+  SELECT '' AS node, l_extendedprice AS y, {weight} AS w, l_linenumber::INT AS f0, l_quantity::INT AS f1,
     ROUND(l_discount * 100)::INT AS f2, ROUND(l_tax * 100)::INT AS f3 FROM lineitem),
 {best("x", "first")},
 children AS ({side("x", "first", "CASE WHEN low THEN 'l' ELSE 'r' END")}),
@@ -169,7 +187,7 @@ children AS ({side("x", "first", "CASE WHEN low THEN 'l' ELSE 'r' END")}),
 second AS (SELECT * FROM every_second QUALIFY ROW_NUMBER() OVER (ORDER BY gain DESC, node) < {leaves}),
 grandchildren AS ({side("children", "second", "node || CASE WHEN low THEN 'l' ELSE 'r' END")}),
 nodes AS (
-  SELECT node, COUNT(*) AS rows, SUM(y) / (COUNT(*) + {penalty}) AS value
+  SELECT node, SUM(w)::BIGINT AS rows, SUM(y * w) / (SUM(w) + {penalty}) AS value
   FROM (SELECT * FROM x UNION ALL SELECT * FROM children UNION ALL SELECT * FROM grandchildren) GROUP BY node),
 splits AS (SELECT * FROM first UNION ALL SELECT * FROM second)
 SELECT n.node, {names}[s.f + 1] AS feature,
@@ -177,14 +195,15 @@ SELECT n.node, {names}[s.f + 1] AS feature,
 FROM nodes n LEFT JOIN splits s ON s.node = n.node"""
 
 
-def tree_rows(spark, model: boost.BoostedModel, names: list[str]) -> DataFrame:
-    """The nodes of the first tree: path from the root, split, rows and step."""
-    tree, rows, paths = model.trees[0], [], [(0, "")]
+def tree_rows(spark, model: boost.BoostedModel, names: list[str], which: int = 0, times: int = 1) -> DataFrame:
+    """The nodes of one tree: path from the root, split, rows, and the score with this tree
+    alone, its steps taken ``times``."""
+    tree, rows, paths = model.trees[which], [], [(0, "")]
     while paths:
         node, path = paths.pop()
         feature = int(tree.feature[node])
         split = (None, None) if feature < 0 else (names[feature], float(model.edges[feature][tree.bin[node]]))
-        rows.append((path, *split, int(tree.rows[node]), float(tree.value[node])))
+        rows.append((path, *split, int(tree.rows[node]), model.base + times * float(tree.value[node])))
         if feature >= 0:
             paths += [(int(tree.left[node]), path + "l"), (int(tree.right[node]), path + "r")]
     out = spark.createDataFrame(rows, "node string, feature string, edge double, rows long, value double")
@@ -205,6 +224,32 @@ first_tree("r6_first_tree", boost.Settings(rounds=1, depth=2, rate=1.0), leaves=
 first_tree("r7_first_tree", boost.Settings(rounds=1, depth=2, rate=1.0, penalty=0.0, min_rows=20, leaves=3), leaves=2)
 
 
+# The last of ten bagged trees, whose weights are the second draw of the second MD5.
+BAGGED_TREES = 10
+BAGGED_DRAW = ("CAST('0x' || SUBSTR(MD5('42:1:' || l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR), 5, 4) AS INT)")
+BAGGED_WEIGHT = "(" + " + ".join(f"({BAGGED_DRAW} >= {cut})::INT" for cut in forest.CUTS) + ")"
+
+
+@query("r4_bagged_tree", tree_sql(0.0, 1, 4, BAGGED_WEIGHT))
+def r4_bagged(spark, sf_dir):
+    """The nodes of one tree of a forest over all lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", *TREE_EDGES)
+    model = forest.BaggedForest(
+        "features", "l_extendedprice", ("l_orderkey", "l_linenumber"), BAGGED_TREES, depth=2,
+        edges=[np.array(e) for e in TREE_EDGES.values()],
+    ).fit(encode.assemble(lines, list(TREE_EDGES), "features"))
+    return tree_rows(spark, model, list(TREE_EDGES), BAGGED_TREES - 1, BAGGED_TREES)
+
+
+@query("r5_first_round", "SELECT value AS prediction, rows FROM (" + tree_sql(0.0, 1, 4) + ") WHERE feature IS NULL")
+def r5_first(spark, sf_dir):
+    """Where the first round of boosting puts all lines."""
+    lines = line_vectors(spark, sf_dir, *TREE_EDGES)
+    model = regress.boosted_trees("features", "l_extendedprice", rounds=1, depth=2, bins=64).fit(lines)
+    return model.transform(lines).groupBy(F.round("prediction", 2).alias("prediction")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 @query("r8_held_out_scores")
 def r8(spark, sf_dir):
     v, models = fitted(
