@@ -1,17 +1,18 @@
 """Second-order boosting on binned features, grown level by level or best leaf first.
 
-Columns are binned once by quantiles, one byte a feature. A level of a tree is one scan:
-every task adds up gradients and rows by (node, feature, bin), and only these sums go to the
-driver, whose size is bounded by nodes, features and bins. Of two children only the smaller
-is added up; the other is what is left of its parent. Gradients are whole numbers (2^-20 of
-the label's unit), so sums are exact and a tree does not depend on how rows are dealt out.
+Columns are binned once by quantiles, one byte a feature, and kept in blocks of rows. A level
+of a tree is one scan: every task adds up gradients and rows by (node, feature, bin), these
+sums meet by node in other tasks, and the driver gets one line a node, its best split. Scores
+are moved on once a round. Gradients are whole numbers (2^-20 of the label's unit), so sums
+are exact and a tree does not depend on how rows are dealt out.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,8 +23,13 @@ from pyspark.sql import DataFrame, functions as F
 from habitscope.sources.scratch import settled
 
 ONE = 1 << 20
-#: Rows of a task, tasks whose sums go straight to the driver, rounds between written scores.
-TASK_ROWS, FEW_TASKS, SETTLE_EVERY = 250_000, 32, 25
+#: Rows of a task, tasks whose sums a single task brings together, rounds between written scores.
+TASK_ROWS, FEW_TASKS, SETTLE_EVERY = 1 << 15, 4, 25
+#: Rows of a block; tasks' sums by node, and a node's best split with its left and whole sums.
+BLOCK_ROWS = 10_000
+SUMS = "slot int, cell array<int>, g array<long>, n array<long>"
+BEST = "slot int, gain double, feature int, bin int, gl long, nl long, g long, n long"
+BLOCKS = "bins binary, label binary, score binary"
 
 
 @dataclass
@@ -39,16 +45,24 @@ class Tree:
     rows: np.ndarray
     gain: np.ndarray
 
+    def steps(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """Depth, each node's feature (a leaf: 0) and, at 2 * node + goes left, the next node
+        (a leaf: itself)."""
+        own = np.arange(len(self.feature))
+        leaf = self.feature < 0
+        after = np.stack([np.where(leaf, own, self.right), np.where(leaf, own, self.left)], 1).ravel()
+        depth, level = 0, np.zeros(1, np.int64)
+        while len(level := level[~leaf[level]]):
+            depth, level = depth + 1, np.concatenate([self.left[level], self.right[level]])
+        return depth, np.where(leaf, 0, self.feature), after
+
     def leaf_of(self, bins: np.ndarray) -> np.ndarray:
+        depth, feature, after = self.steps()
         node = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
-        while True:
-            feature = self.feature[node]
-            inner = feature >= 0
-            if not inner.any():
-                return node
-            low = bins[rows, np.maximum(feature, 0)] <= self.bin[node]
-            node = np.where(inner, np.where(low, self.left[node], self.right[node]), node)
+        flat, start = bins.reshape(-1), np.arange(len(bins)) * bins.shape[1]
+        for _ in range(depth):
+            node = after[2 * node + (flat[start + feature[node]] <= self.bin[node])]
+        return node
 
 
 @dataclass(frozen=True)
@@ -79,43 +93,102 @@ def to_bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
         if edges else np.zeros((len(x), 0), np.uint8)
 
 
-def _rows_of(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    flat = np.frombuffer(b"".join(part.column(0).to_pylist()), np.uint8)
-    return flat.reshape(-1, width), part.column(1).to_numpy(), part.column(2).to_numpy()
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Bins, labels and scores of each block."""
+    for part in batches:
+        for bins, label, score in zip(*(part.column(i) for i in range(3))):
+            yield (np.frombuffer(bins.as_py(), np.uint8).reshape(-1, width),
+                   np.frombuffer(label.as_py()), np.frombuffer(score.as_py()))
+
+
+def _block(x: np.ndarray, label: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v.tobytes()], pa.binary()) for v in (x, label, score)], ["bins", "label", "score"])
+
+
+def sums_batch(total: np.ndarray) -> pa.RecordBatch:
+    """The cells with rows of ``total``, [(label, rows), slot, cell], a line a slot."""
+    slot, cell = np.nonzero(total[1])
+    used, first = np.unique(slot, return_index=True)
+    ends = pa.array(np.append(first, len(slot)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (cell.astype(np.int32), *(t[slot, cell] for t in total))]
+    return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *lists], ["slot", "cell", "g", "n"])
+
+
+def best_of_slots(table: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], pa.RecordBatch],
+                  best: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]],
+                  slots: int, width: int, bins: int, tasks: int, few_tasks: int) -> list[tuple]:
+    """(gain, feature, bin, left sum and rows, whole sum and rows) of the best split of each slot.
+
+    ``add`` gives the ``SUMS`` of one of the table's ``tasks``. Those of some neighbouring slots meet in one task, so what
+    reaches the driver does not depend on tasks and bins. ``best`` gives gains, features
+    and bins for sums [slot, feature, bin, 2]."""
+    several = max(1, slots // 256)
+
+    def split(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        slot = np.concatenate([p.column("slot").to_numpy() for p in parts])
+        size = np.concatenate([np.diff(p.column("cell").offsets.to_numpy()) for p in parts])
+        used, place = np.unique(slot, return_inverse=True)
+        at = np.repeat(place, size) * (width * bins)
+        at += np.concatenate([p.column("cell").flatten().to_numpy() for p in parts])
+        sums = np.zeros((len(used) * width * bins, 2), np.int64)
+        for i, name in enumerate(("g", "n")):
+            np.add.at(sums[:, i], at, np.concatenate([p.column(name).flatten().to_numpy() for p in parts]))
+        sums = sums.reshape(len(used), width, bins, 2)
+        gain, feature, cut = best(sums)
+        up = np.cumsum(sums[np.arange(len(used)), feature], 1)
+        low, whole = up[np.arange(len(used)), cut], up[:, -1]
+        columns = (used, gain, feature, cut, low[:, 0], low[:, 1], whole[:, 0], whole[:, 1])
+        types = (pa.int32(), pa.float64(), pa.int32(), pa.int32(), *[pa.int64()] * 4)
+        return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types)],
+                                          ["slot", "gain", "feature", "bin", "gl", "nl", "g", "n"])
+
+    if tasks == 1:
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = add(batches)
+            if own.num_rows:
+                yield split([own])
+
+        found = table.mapInArrow(alone, BEST)
+    else:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield add(batches)
+
+        def together(group: pa.Table) -> pa.Table:
+            return pa.Table.from_batches([split(group.to_batches())])
+
+        several_of = F.expr(f"slot div {several}").alias("some")
+        spread = 1 if tasks <= few_tasks else min(table.sparkSession.sparkContext.defaultParallelism, -(-slots // several))
+        found = table.mapInArrow(each, SUMS).select(several_of, "*").repartition(spread, "some").groupBy("some").applyInArrow(
+            lambda group: together(group.drop_columns(["some"])), BEST)
+    out: list[tuple] = [(0.0, 0, 0, 0, 0, 0, 0)] * slots
+    for line in found.collect():
+        out[line[0]] = tuple(line[1:])
+    return out
 
 
-def _histogram(table: DataFrame, width: int, bins: int, trees: list[Tree], now: Tree | None, nodes: list[int],
-               few: bool) -> np.ndarray:
-    """Sums of gradients and rows, [node, feature, bin, 2], of the given open nodes."""
-    place = np.full(len(now.feature) if now else 1, -1, np.int64)
+def _best(table: DataFrame, width: int, bins: int, now: Tree, nodes: list[int], s: Settings, tasks: int) -> list[tuple]:
+    """The best splits of the given open nodes on what the scores leave of the labels."""
+    place = np.full(len(now.feature), -1, np.int64)
     place[nodes] = np.arange(len(nodes))
-    shape = (len(nodes), width, bins)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         total = np.zeros((2, len(nodes) * width * bins), np.int64)
-        for part in batches:
-            x, label, score = _rows_of(part, width)
-            score = score.copy()
-            for tree in trees:
-                score += tree.value[tree.leaf_of(x)]
+        for x, label, score in _blocks(batches, width):
             gradient = np.rint((score - label) * ONE)
-            at = place[now.leaf_of(x)] if now else np.zeros(len(x), np.int64)
-            open_ = at >= 0
-            cell = ((at[open_, None] * width + np.arange(width)) * bins + x[open_]).ravel()
-            total[0] += np.bincount(cell, np.repeat(gradient[open_], width), total.shape[1]).astype(np.int64)
+            at = place[now.leaf_of(x)]
+            if (at < 0).any():
+                own = at >= 0
+                x, gradient, at = x[own], gradient[own], at[own]
+            cell = ((at[:, None] * width + np.arange(width)) * bins + x).ravel()
+            total[0] += np.bincount(cell, np.repeat(gradient, width), total.shape[1]).astype(np.int64)
             total[1] += np.bincount(cell, minlength=total.shape[1])
-        cells = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cells, total[0, cells], total[1, cells])], ["cell", "g", "n"])
+        return sums_batch(total.reshape(2, len(nodes), width * bins))
+
+    def best(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return tuple(map(np.array, zip(*(best_split(own, s) for own in sums))))
 
-    sums = table.mapInArrow(add, "cell long, g long, n long")
-    if not few:
-        sums = sums.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-    found = sums.toArrow()
-    out = np.zeros((2, int(np.prod(shape))), np.int64)
-    cell = found.column("cell").to_numpy()
-    np.add.at(out[0], cell, found.column("g").to_numpy())
-    np.add.at(out[1], cell, found.column("n").to_numpy())
-    return np.stack([out[0].reshape(shape), out[1].reshape(shape)], 3)
+    return best_of_slots(table, add, best, len(nodes), width, bins, tasks, FEW_TASKS)
 
 
 def best_split(sums: np.ndarray, s: Settings) -> tuple[float, int, int]:
@@ -132,42 +205,35 @@ def best_split(sums: np.ndarray, s: Settings) -> tuple[float, int, int]:
     return float(gain.ravel()[at]), *divmod(at, gain.shape[1])
 
 
-def grow(table: DataFrame, width: int, bins: int, trees: list[Tree], s: Settings, few: bool) -> Tree:
-    """One tree on the gradients left by ``trees``. A scan a level; with ``leaves`` the splits
+def grow(table: DataFrame, width: int, bins: int, s: Settings, tasks: int) -> Tree:
+    """One tree on the gradients that the scores leave. A scan a level; with ``leaves`` the splits
     of greatest gain are then taken, best leaf first, which is what splitting them one by one
     gives, since the best split of a node does not depend on other nodes."""
     tree = Tree(*(np.array([v]) for v in (-1, 0, -1, -1, 0.0, 0, 0.0)))
-    sums = {0: _histogram(table, width, bins, trees, None, [0], few)[0]}
+
+    def settle(node: int, g: int, n: int) -> None:
+        tree.value[node], tree.rows[node] = -s.rate * (g / ONE) / max(n + s.penalty, 1e-12), n
+
     level = [0]
-    for depth in range(s.depth + 1):
-        for node in level:
-            g, n = sums[node][0].sum(axis=0)
-            tree.value[node], tree.rows[node] = -s.rate * (g / ONE) / max(n + s.penalty, 1e-12), n
-        splits = {node: best_split(sums[node], s) for node in level} if depth < s.depth else {}
-        splits = {node: x for node, x in splits.items() if x[0] > 1e-9}
-        if not splits:
-            break
-        smaller, level = [], []
-        for node, (gain, feature, at) in splits.items():
+    for depth in range(max(s.depth, 1)):
+        below = []
+        for node, (gain, feature, at, gl, nl, g, n) in zip(level, _best(table, width, bins, tree, level, s, tasks)):
+            if not depth:
+                settle(0, g, n)
+            if gain <= 1e-9 or depth == s.depth:
+                continue
             left = len(tree.feature)
             for name, extra in (("feature", [-1, -1]), ("bin", [0, 0]), ("left", [-1, -1]), ("right", [-1, -1]),
                                 ("value", [0.0, 0.0]), ("rows", [0, 0]), ("gain", [0.0, 0.0])):
                 setattr(tree, name, np.concatenate([getattr(tree, name), extra]))
             tree.feature[node], tree.bin[node], tree.gain[node] = feature, at, gain
             tree.left[node], tree.right[node] = left, left + 1
-            below = sums[node][feature, : at + 1, 1].sum()
-            smaller.append(left if 2 * below <= sums[node][feature, :, 1].sum() else left + 1)
-            level += [left, left + 1]
-        if depth + 1 == s.depth:  # leaves: their totals are known from the parents' sums
-            for node, (_, feature, at) in splits.items():
-                for child, cut in ((tree.left[node], slice(0, at + 1)), (tree.right[node], slice(at + 1, None))):
-                    g, n = sums[node][feature, cut].sum(axis=0)
-                    tree.value[child], tree.rows[child] = -s.rate * (g / ONE) / max(n + s.penalty, 1e-12), n
+            settle(left, gl, nl)
+            settle(left + 1, g - gl, n - nl)
+            below += [left, left + 1]
+        level = below
+        if not level:
             break
-        found = _histogram(table, width, bins, trees, tree, smaller, few)
-        for node, small, own in zip(splits, smaller, found):
-            other = tree.left[node] if small == tree.right[node] else tree.right[node]
-            sums[small], sums[int(other)] = own, sums.pop(node) - own
     return tree if s.leaves is None else best_first(tree, s.leaves)
 
 
@@ -239,18 +305,25 @@ class BoostedModel:
         bins = to_bins(x, self.edges)
         out = np.zeros((len(x), len(self.edges) + 1))
         out[:, -1] = self.base
-        rows = np.arange(len(x))
-        for t in self.trees:
-            expected = expected_values(t)
-            out[:, -1] += expected[0]
+        cells, own = out.reshape(-1), np.arange(len(x)) * out.shape[1]
+        flat, start = bins.reshape(-1), np.arange(len(x)) * bins.shape[1]
+        for t, (mean, depth, feature, after, step) in zip(self.trees, self._paths):
+            out[:, -1] += mean
             node = np.zeros(len(x), np.int64)
-            while (t.feature[node] >= 0).any():
-                feature = np.maximum(t.feature[node], 0)
-                inner = t.feature[node] >= 0
-                below = np.where(bins[rows, feature] <= t.bin[node], t.left[node], t.right[node])
-                below = np.where(inner, below, node)
-                out[rows, feature] += np.where(inner, expected[below] - expected[node], 0)
-                node = below
+            for _ in range(depth):
+                at = feature[node]
+                way = 2 * node + (flat[start + at] <= t.bin[node])
+                cells[own + at] += step[way]
+                node = after[way]
+        return out
+
+    @cached_property
+    def _paths(self) -> list[tuple]:
+        """Of each tree the mean step, ``Tree.steps`` and what each of those adds to it."""
+        out = []
+        for t in self.trees:
+            expected, (depth, feature, after) = expected_values(t), t.steps()
+            out.append((expected[0], depth, feature, after, expected[after] - np.repeat(expected, 2)))
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -300,43 +373,46 @@ class HistogramBoosting:
         width, bins = len(edges), max(map(len, edges)) + 1
 
         def bin_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in batches:
-                x = np.stack([np.asarray(v, float) for v in part.column(0).to_pylist()]) if part.num_rows else \
-                    np.zeros((0, width))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v.tobytes() for v in to_bins(x, edges)], pa.binary()), part.column(1),
-                     pa.array(np.full(part.num_rows, base))], ["bins", "label", "score"])
-
-        tasks = max(1, -(-n // TASK_ROWS))
-        spread = rows.select(vector_to_array("features").alias("x"), "label")
-        spread = spread.coalesce(tasks) if tasks < spread.rdd.getNumPartitions() else spread
-        table = settled(spread.mapInArrow(bin_rows, "bins binary, label double, score double"), "binned").persist()
-        few = table.rdd.getNumPartitions() <= FEW_TASKS
+            for batch in batches:
+                for start in range(0, batch.num_rows, BLOCK_ROWS):
+                    part = batch.slice(start, BLOCK_ROWS)
+                    x = np.stack([np.asarray(v, float) for v in part.column(0).to_pylist()])
+                    yield _block(to_bins(x, edges), part.column(1).to_numpy(), np.full(part.num_rows, float(base)))
+
+        spread = in_tasks(rows.select(vector_to_array("features").alias("x"), "label"), -(-n // TASK_ROWS))
+        table = settled(spread.mapInArrow(bin_rows, BLOCKS), "binned").persist()
         trees: list[Tree] = []
-        since: list[Tree] = []
+        last, tasks = None, table.rdd.getNumPartitions()
         for turn in range(s.rounds):
-            tree = grow(table, width, bins, since, s, few)
+            tree = grow(table, width, bins, s, tasks)
+            if last is not None:
+                last.unpersist()  # the first scan of a round has read it
             if tree.feature[0] < 0 and not tree.value[0]:
                 break
             trees.append(tree)
-            since.append(tree)
-            if len(since) == SETTLE_EVERY and turn + 1 < s.rounds:
-                last, since = table, []
-                table = settled(_scored(last, width, trees[-SETTLE_EVERY:]), "scores").persist()
-                last.unpersist()
+            if turn + 1 < s.rounds:
+                last, table = table, _scored(table, width, tree)
+                if len(trees) % SETTLE_EVERY == 0:
+                    table = settled(table, "scores")
+                    tasks = table.rdd.getNumPartitions()
+                table = table.persist()
         table.unpersist()
         return BoostedModel(base, trees, edges, self.features)
 
 
-def _scored(table: DataFrame, width: int, trees: list[Tree]) -> DataFrame:
-    """``table`` with the steps of ``trees`` added to the score."""
+def in_tasks(df: DataFrame, tasks: int) -> DataFrame:
+    """``df`` in so many partitions."""
+    now = df.rdd.getNumPartitions()
+    return df if tasks == now else df.coalesce(tasks) if tasks < now else df.repartition(tasks)
+
+
+def _scored(table: DataFrame, width: int, tree: Tree) -> DataFrame:
+    """``table`` with the steps of ``tree`` added to the score."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            x, _, score = _rows_of(part, width)
-            score = score + sum(t.value[t.leaf_of(x)] for t in trees)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score)], part.schema.names)
+        for x, label, score in _blocks(batches, width):
+            yield _block(x, label, score + tree.value[tree.leaf_of(x)])
 
-    return table.mapInArrow(add, "bins binary, label double, score double")
+    return table.mapInArrow(add, BLOCKS)
 
 
 def tree_contributions(df: DataFrame, model: BoostedModel, names: list[str], keep: list[str]) -> DataFrame:

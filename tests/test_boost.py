@@ -120,3 +120,30 @@ def test_edges(frame):
     some = boost.HistogramBoosting("features", "label", boost.Settings(rounds=2)).fit(frame(x, [None, *y[1:]]))
     assert some.trees[0].rows[0] == 39
     assert some.transform(frame(x, y).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_rows_are_spread_and_a_level_brings_one_line_a_node(frame, monkeypatch, parts):
+    seen = []
+    whole = boost.best_of_slots
+
+    def spied(table, add, best, slots, width, bins, tasks, few):
+        out = whole(table, add, best, slots, width, bins, tasks, few)
+        seen.append((tasks, slots, len(out), {len(line) for line in out}))
+        return out
+
+    monkeypatch.setattr(boost, "best_of_slots", spied)
+    monkeypatch.setattr(boost, "TASK_ROWS", 200)
+    boost.HistogramBoosting("features", "label", boost.Settings(rounds=2, depth=2)).fit(frame(*rows(), parts))
+    assert seen == [(3, n, n, {7}) for n in (1, 2, 1, 2)]  # 600 rows, however few partitions they came in
+
+
+def test_leaves_and_contributions_of_a_lopsided_tree():
+    tree = boost.Tree(*(np.array(v) for v in (
+        [1, -1, 0, -1, -1], [3, 0, 1, 0, 0], [1, -1, 3, -1, -1], [2, -1, 4, -1, -1], [0.0, 1.0, 0.0, 2.0, 4.0],
+        [4, 2, 2, 1, 1], [5.0, 0.0, 2.0, 0.0, 0.0])))
+    x = np.array([[0, 3], [0, 4], [1, 9], [2, 9]], np.uint8)
+    assert tree.leaf_of(x).tolist() == [1, 3, 3, 4]
+    assert tree.leaf_of(x[:0]).tolist() == []
+    model = boost.BoostedModel(10.0, [tree], [np.arange(5.0), np.arange(10.0)])
+    assert model.parts(x.astype(float)).tolist() == [[0, -1, 12], [-1, 1, 12], [-1, 1, 12], [1, 1, 12]]
