@@ -3,8 +3,9 @@
 How often a row counts in a tree is a Poisson(1) number drawn from an MD5 of its key, so the
 trees do not depend on how rows are dealt out, and a recomputed task draws the same again.
 A level of all trees is a few scans: tasks add up weights and labels by (tree, node, feature,
-bin), as many cells at once as ``CELLS`` allows, and only these sums go to the driver. Labels
-are whole numbers of a unit fixed by their range and number, so sums are exact.
+bin), as many cells at once as ``CELLS`` allows; these sums meet by node in other tasks, and
+the driver gets one line a node, its best split. Labels are whole numbers of a unit fixed by
+their range and number, so sums are exact.
 """
 
 from __future__ import annotations
@@ -18,14 +19,15 @@ import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from habitscope.operators.boost import TASK_ROWS, BoostedModel, Tree, quantile_edges, to_bins
+from habitscope.operators.boost import (
+    BoostedModel, Tree, best_of_slots, in_tasks, quantile_edges, sums_batch, to_bins)
 from habitscope.sources.scratch import settled
 
 #: A draw of 16 bits that reaches k of these gives a row the weight k: Poisson(1), at most 7.
 CUTS = [int(65536 * math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1))) for k in range(7)]
 DRAWS = 8  # of 16 bits in one MD5
-#: Sums held at once, tasks whose sums go straight to the driver, rows added up at once.
-CELLS, FEW_TASKS, SLICE_ROWS = 1 << 21, 8, 8192
+#: Sums held at once, rows of a task, tasks whose sums a single task brings together, rows added up at once.
+CELLS, TASK_ROWS, FEW_TASKS, SLICE_ROWS = 1 << 21, 250_000, 1, 8192
 
 
 def draws(key: Column, trees: int, seed: int) -> Column:
@@ -55,15 +57,15 @@ def best_splits(sums: np.ndarray, min_rows: int) -> tuple[np.ndarray, np.ndarray
     return flat[np.arange(len(at)), at], at // gain.shape[2], at % gain.shape[2]
 
 
-def _sums(table: DataFrame, width: int, bins: int, trees: dict[int, Tree], nodes: list[tuple[int, int]],
-          few: bool) -> np.ndarray:
-    """Label and weight sums, [node, feature, bin, 2], of the given (tree, node) pairs."""
+def _best(table: DataFrame, width: int, bins: int, trees: dict[int, Tree], nodes: list[tuple[int, int]],
+          min_rows: int, tasks: int) -> list[tuple]:
+    """The best splits of the given (tree, node) pairs."""
     cells = width * bins
     places: dict[int, np.ndarray] = {}
     for slot, (t, node) in enumerate(nodes):
         places.setdefault(t, np.full(len(trees[t].feature), -1, np.int64))[node] = slot
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         total = np.zeros((2, len(nodes) * cells), np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
@@ -83,17 +85,9 @@ def _sums(table: DataFrame, width: int, bins: int, trees: dict[int, Tree], nodes
                     for row, values in enumerate((label[own] * w, w)):
                         found = np.bincount(cell, np.repeat(values, width))
                         total[row, first : first + len(found)] += found.astype(np.int64)
-        hit = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (hit, total[0, hit], total[1, hit])], ["cell", "g", "n"])
+        return sums_batch(total.reshape(2, len(nodes), cells))
 
-    found = table.mapInArrow(add, "cell long, g long, n long")
-    if not few:
-        found = found.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-    rows = found.toArrow()
-    out = np.zeros((len(nodes) * cells, 2), np.int64)
-    for i, name in enumerate(("g", "n")):
-        np.add.at(out[:, i], rows.column("cell").to_numpy(), rows.column(name).to_numpy())
-    return out.reshape(len(nodes), width, bins, 2)
+    return best_of_slots(table, add, lambda sums: best_splits(sums, min_rows), len(nodes), width, bins, tasks, FEW_TASKS)
 
 
 class _Growing:
@@ -160,9 +154,7 @@ class BaggedForest:
                     [pa.array([v.tobytes() for v in to_bins(x, edges)], pa.binary()),
                      pa.array([v.tobytes() for v in weights], pa.binary()), pa.array(whole)], ["bins", "weights", "label"])
 
-        tasks = max(1, -(-n // TASK_ROWS))
-        spread = rows.select(vector_to_array("features").alias("x"), "label", "draws")
-        spread = spread.coalesce(tasks) if tasks < spread.rdd.getNumPartitions() else spread
+        spread = in_tasks(rows.select(vector_to_array("features").alias("x"), "label", "draws"), -(-n // TASK_ROWS))
         table = settled(spread.mapInArrow(bin_rows, "bins binary, weights binary, label long"), "bagged").persist()
         try:
             found = self._grow(table, width, bins, unit)
@@ -171,7 +163,7 @@ class BaggedForest:
         return BoostedModel(base, found, edges, self.features)
 
     def _grow(self, table: DataFrame, width: int, bins: int, unit: float) -> list[Tree]:
-        few = table.rdd.getNumPartitions() <= FEW_TASKS
+        tasks, min_rows = table.rdd.getNumPartitions(), max(self.min_rows, 1)
         growing = [_Growing() for _ in range(self.trees)]
         scale = 1 / (unit * self.trees)  # a tree's share of the mean
         at_once = max(1, CELLS // (max(width, 1) * bins))
@@ -181,19 +173,16 @@ class BaggedForest:
             for start in range(0, len(level), at_once):
                 nodes = level[start : start + at_once]
                 now = {t: growing[t].tree() for t in {t for t, _ in nodes}}
-                sums = _sums(table, width, bins, now, nodes, few)
-                for (t, node), own, gain, feature, at in zip(nodes, sums, *best_splits(sums, max(self.min_rows, 1))):
-                    tree, line = growing[t], own[feature]
+                found = _best(table, width, bins, now, nodes, min_rows, tasks)
+                for (t, node), (gain, feature, at, gl, nl, g, n) in zip(nodes, found):
+                    tree = growing[t]
                     if not depth:
-                        g, tree.rows[0] = map(int, line.sum(0))
-                        tree.value[0] = g * scale / max(tree.rows[0], 1)
+                        tree.rows[0], tree.value[0] = n, g * scale / max(n, 1)
                     if not gain:
                         continue
-                    for child, cut in zip(tree.split(node, int(feature), int(at), gain / unit**2),
-                                          (line[: at + 1], line[at + 1 :])):
-                        g, tree.rows[child] = map(int, cut.sum(0))
-                        tree.value[child] = g * scale / tree.rows[child]
-                        if tree.rows[child] >= 2 * max(self.min_rows, 1):
+                    for child, (g, n) in zip(tree.split(node, feature, at, gain / unit**2), ((gl, nl), (g - gl, n - nl))):
+                        tree.rows[child], tree.value[child] = n, g * scale / n
+                        if n >= 2 * min_rows:
                             below.append((t, child))
             level = below
             if not level:

@@ -139,3 +139,18 @@ def test_rows_of_equal_keys_or_contents_weigh_alike(spark, frame):
     assert twice.groupBy("a", "b", "label").agg(F.count_distinct("d").alias("n")).where("n > 1").count() == 0
     nulls = spark.createDataFrame([(None, 1), (None, 1)], "k string, j int")
     assert nulls.select(forest.draws(forest.key_text(("k", "j"), "k", "k"), 1, 1)).distinct().count() == 1
+
+
+def test_the_driver_gets_one_line_a_node(frame, monkeypatch):
+    seen = []
+    whole = forest.best_of_slots
+
+    def spied(table, add, best, slots, *rest):
+        out = whole(table, add, best, slots, *rest)
+        seen.append((rest[2], slots, len(out), {len(line) for line in out}))
+        return out
+
+    monkeypatch.setattr(forest, "best_of_slots", spied)
+    monkeypatch.setattr(forest, "TASK_ROWS", 250)
+    forest.BaggedForest("features", "label", ("id",), 3, 2, edges=EDGES).fit(frame(*rows()))
+    assert seen == [(2, n, n, {7}) for n in (3, 6)]
