@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from habitscope.llm.rows import picked
 from habitscope.llm.shard import numbered
 from habitscope.llm.words import mixed, slices, text_bytes, word_hashes, word_spans
 from habitscope.sources.scratch import settled
@@ -225,8 +226,8 @@ def _links_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataF
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``text_hash`` (xxhash64) for
-    each row of ``docs`` (``doc_id``, ``text``).
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_hash`` (xxhash64) and
+    ``row_number`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Documents are linked if their sets of ``size``-word shingles have a Jaccard similarity
     of ``percent`` / 100 or more. ``component_id`` is the least doc_id reachable, ``kept``
@@ -237,7 +238,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     with nothing, its component_id is null and it is kept. An empty table gives no rows.
     Missing a link takes 32 failed bands of 5: a chance of 3e-6 at exactly 0.8, less above.
     """
-    docs, _ = numbered(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    docs, n_rows = numbered(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     rows = settled(sketches(docs, size), "sketches")
     classes = settled(
         rows.where("n_shingles > 0").groupBy("hi", "lo").agg(
@@ -251,9 +252,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = settled(buckets.drop("band").join(pivots, "key"), "members")
     tested = settled(members.where("id <> pivot").select(
         F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "tested")
-    wanted = members.select("id").distinct()
-    texts = docs.select(F.col("row_number").alias("id"), "text").join(wanted, "id", "left_semi")
-    sets = settled(sets_of(texts, size), "sets")
+    texts = picked(docs, members.select(F.col("id").alias("row_number")), n_rows)
+    sets = settled(sets_of(texts.select(F.col("row_number").alias("id"), "text"), size), "sets")
     links = settled(_confirmed(tested, sets, percent), "links")
 
     found = components(links)
@@ -284,4 +284,4 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         "doc_id", "n_shingles",
         F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.col("doc_id").eqNullSafe(F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id"))).alias("kept"),
-        "text_hash")
+        "text_hash", "row_number")

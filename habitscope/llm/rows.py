@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from habitscope.sources.scratch import settled
 
+#: Bits of a page of a bit table (4 KB), and of all its pages. More numbers than that share bits.
+PAGE, BITS = 1 << 15, 1 << 26
+
 
 def as_scan(df: DataFrame) -> DataFrame:
     """``df`` if it is a file scan, else a copy written to the shared folder and read back."""
@@ -69,3 +72,23 @@ def at_places(df: DataFrame, places: DataFrame) -> DataFrame:
     """The rows of the scan ``df`` at ``places`` (``__path``, ``__row``; a bounded sample,
     which is broadcast)."""
     return file_rows(df).join(F.broadcast(places.select("__path", "__row")), ["__path", "__row"]).drop("__path", "__row")
+
+
+def picked(df: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
+    """The rows of ``df`` whose ``row_number`` (0 .. ``rows`` - 1) is among those of ``chosen``,
+    which may repeat them and has no other column.
+
+    A bit for each number is broadcast, 8 MB at most, so a row that is left out is not
+    shuffled. Numbers beyond share their bits with others; then what passes is joined
+    exactly, and only that moves.
+    """
+    chosen = settled(chosen, "chosen")
+    bit = F.col("row_number") % BITS
+    pages = settled(
+        chosen.groupBy(F.floor(bit / PAGE).alias("__page")).agg(F.bitmap_construct_agg(bit % PAGE).alias("__bits")), "bits")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit % PAGE / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    passed = (
+        df.join(F.broadcast(pages), F.floor(bit / PAGE) == F.col("__page"))
+        .where(F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1).drop("__page", "__bits")
+    )
+    return passed if rows <= BITS else passed.join(chosen.distinct(), "row_number", "left_semi")

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from habitscope.llm import neardup, queries
+from habitscope.llm import neardup, queries, rows as R
 
 SF = "/root/testdata/sf0.001"
 
@@ -131,3 +131,30 @@ def test_signature_estimates_similarity():
     common, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (600, 100, 100))
     s, t = (neardup.signature(np.concatenate([common, x])) for x in (a, b))
     assert abs((s == t).mean() - 600 / 800) < 0.12
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 10])
+def test_rows_are_picked_without_moving_the_others(spark, monkeypatch, bits):
+    """Exact also where numbers share bits; then only what passed is shuffled."""
+    monkeypatch.setattr(R, "BITS", bits)
+    table = spark.range(70_000).selectExpr("id AS row_number", "id * 2 AS x")
+    chosen = table.where("row_number % 997 IN (0, 5) OR row_number IN (32767, 32768, 65535)").select("row_number")
+    out = R.picked(table, chosen.union(chosen), 70_000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange hashpartitioning" in plan or "LeftSemi" in plan) == (bits < 70_000)
+    assert sorted(r.row_number for r in out.collect()) == sorted(r.row_number for r in chosen.collect())
+    assert out.where("x <> 2 * row_number").count() == 0
+    assert R.picked(table, chosen.where("false"), 70_000).count() == 0
+
+
+def test_texts_of_unlike_rows_are_not_shuffled(spark, docs, tmp_path, monkeypatch):
+    """Sets are built from rows that the bit table lets through, and from no others."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(40)] + [(100, "a b c d e f g"), (101, "a b c d e f g")]
+    rows += [(102, "a b c d e f g h"), (103, "a b c d e f g h")]
+    docs(rows).write.parquet(str(tmp_path / "in"))
+    seen = []
+    monkeypatch.setattr(neardup, "sets_of", lambda texts, size, real=neardup.sets_of: seen.append(texts) or real(texts, size))
+    out = neardup.near_duplicates(spark.read.parquet(str(tmp_path / "in")), size=4)
+    check(out.collect(), rows, 4)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" not in plan and "hashpartitioning" not in plan
