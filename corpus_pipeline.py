@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from habitscope.llm import cotrain, mix, neardup, pack, secret_scan, shard
 from habitscope.llm.queries import importable, vocabulary
-from habitscope.llm.rows import file_rows
+from habitscope.llm.rows import as_scan, file_rows, picked
 from habitscope.sources.scratch import settled
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -38,15 +38,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are in no group. A row without doc_id stands for itself and stays only if no row with
     one is in its group; of rows equal in doc_id and text one stays."""
     importable(spark)
-    placed = file_rows(docs.select(*COLUMNS))
+    docs = as_scan(docs.select(*COLUMNS))
     unnamed = F.shiftrightunsigned(F.xxhash64("__path", "__row"), 2) + F.lit(1 << 62)
-    keyed = placed.select(
-        *COLUMNS, F.coalesce("doc_id", unnamed).alias("__id"), F.xxhash64("text").alias("__text"))
-    found = neardup.near_duplicates(keyed.select(F.col("__id").alias("doc_id"), "text"))
-    kept = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct()
-    once = F.row_number().over(Window.partitionBy("__id", "__text").orderBy("n_chars", "source", "lang"))
-    first = keyed.withColumn("__nth", once).where("__nth = 1")
-    return first.join(kept, ["__id", "__text"], "left_semi").select(*COLUMNS)
+    named = file_rows(docs).select(F.coalesce("doc_id", unnamed).alias("doc_id"), "text")
+    found = neardup.near_duplicates(named).where("kept").select(F.col("doc_id").alias("__id"), "text_hash", "row_number")
+    table, rows = shard.numbered(docs)
+    once = F.row_number().over(Window.partitionBy("__id", "text_hash").orderBy("n_chars", "source", "lang", "row_number"))
+    first = found.join(table.select("row_number", "n_chars", "source", "lang"), "row_number").withColumn(
+        "__nth", once).where("__nth = 1")
+    return picked(table, first.select("row_number"), rows).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

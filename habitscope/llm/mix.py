@@ -22,7 +22,7 @@ from heapq import heapify, heappop, heappush
 from math import lcm
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from habitscope.llm.rows import as_scan, file_rows, ranked_within
@@ -32,6 +32,10 @@ from habitscope.sources.scratch import new_scratch_path, settled
 MAX_QUEUES = 2 ** 31 - 1
 #: Blocks of the schedule that the driver holds at a time.
 PIECE = 1 << 18
+#: Bytes of text of an output file, limits between files that are broadcast, and the bits of a
+#: hash by which a row finds those it may lie between.
+FILE_BYTES, BROADCAST_LIMITS, RANGE_BITS = 1 << 25, 1 << 18, 10
+SEED = 5
 
 
 def whole_slots(weights: list[float], period: int) -> list[int]:
@@ -111,8 +115,11 @@ def schedule(spark: SparkSession, sizes: list[int], weights: list[float | None],
     return spark.read.parquet(path)
 
 
-def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper: float = 0.5,
-         block: int = 32, seed: int = 5, period: int | None = None) -> DataFrame:
+def _hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
+def plan(docs: DataFrame, **options) -> DataFrame:
     """``__file`` (a hash of the path), ``__row``, ``queue``, ``block``, ``slot``, ``position``
     for each row of ``docs`` (columns ``doc_id``, ``source``, ``text``).
 
@@ -122,19 +129,24 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
     exact. Every source has a queue of its own, numbered by size; a null source is a source.
     ``position`` runs from 0 without gaps. Repeated rows are rows like others.
     """
+    return _placed(docs, **options).select("__file", "__row", "queue", "block", "slot", "position")
+
+
+def _placed(docs: DataFrame, weights: dict[str | None, float] | None = None, temper: float = 0.5,
+            block: int = 32, seed: int = SEED, period: int | None = None) -> DataFrame:
+    """``plan``, with each row's ``source``, ``hash``, ``doc_id`` and ``bytes`` of text."""
     spark = docs.sparkSession
     keys = file_rows(docs).select(
-        "source", F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"), "doc_id",
-        F.xxhash64("__path").alias("__file"), "__row")
+        "source", _hash(seed).alias("hash"), "doc_id", F.xxhash64("__path").alias("__file"), "__row",
+        F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
     keys = settled(keys, "mix-keys")
     rank = keys.groupBy("source").count().orderBy(F.desc("count"), "source").toArrow()
     if not len(rank):
-        return keys.select("__file", "__row", *[F.lit(0).cast(t).alias(c) for c, t in (
+        return keys.select("*", *[F.lit(0).cast(t).alias(c) for c, t in (
             ("queue", "int"), ("block", "long"), ("slot", "long"), ("position", "long"))])
     numbers = pa.table({"name": rank["source"], "number": pa.array(range(len(rank)), pa.int32())})
     number_of = settled(spark.createDataFrame(numbers), "mix-queues")
-    queued = keys.join(number_of, F.col("source").eqNullSafe(F.col("name"))).select(
-        "hash", "doc_id", "__file", "__row", "number")
+    queued = keys.join(number_of, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     sizes = rank["count"].to_pylist()
     wanted: list[float | None] = [float(n) ** temper for n in sizes]
     if weights is not None:
@@ -143,7 +155,7 @@ def plan(docs: DataFrame, weights: dict[str | None, float] | None = None, temper
     return (
         ranked.withColumn("block", F.expr(f"__rank div {block}"))
         .join(schedule(spark, sizes, wanted, block, period), ["number", "block"])
-        .select("__file", "__row", F.least("number", F.lit(MAX_QUEUES - 1)).alias("queue"), "block", "slot",
+        .select("source", "hash", "doc_id", "bytes", "__file", "__row", F.least("number", F.lit(MAX_QUEUES - 1)).alias("queue"), "block", "slot",
                 (F.col("before") + F.col("__rank") % block).alias("position")))
 
 
@@ -157,7 +169,47 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return rows.join(where, ["__file", "__row"]).drop("__file", "__row")
 
 
-def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
+def in_mixed_order(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The rows of ``docs``, unchanged, in the order of the mix: sorted over the output
-    files and inside each."""
-    return mixed(docs, **options).repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    files and inside each.
+
+    Positions of a source rise with the hash, so a row finds its file by the file's limits in
+    its source. Texts move once, to that file, where they meet their positions.
+    """
+    docs = as_scan(docs)
+    where = settled(_placed(docs, seed=seed, **options).select(
+        "source", "hash", "doc_id", "bytes", "__file", "__row", "position"), "mix-order")
+    rows, size = where.agg(F.count("*"), F.sum("bytes")).first()
+    if not rows:
+        return docs
+    files = min(rows, -(-size // FILE_BYTES) or 1)
+    where = where.withColumn("__to", F.floor(F.col("position") / -(-rows // files)).cast("int"))
+
+    def own(hash_: str) -> Column:
+        return F.struct(F.col(hash_).alias("hash"), "doc_id", "__file", "__row")
+
+    def range_(hash_: str) -> Column:
+        return F.shiftrightunsigned(hash_, 64 - RANGE_BITS)
+
+    limits = settled(
+        where.groupBy(F.col("source").alias("__source"), range_("hash").alias("__range"), "__to")
+        .agg(F.min(own("hash")).alias("from")).groupBy("__source", "__range")
+        .agg(F.collect_list(F.struct("from", "__to")).alias("__limits")), "mix-limits")
+    if (limits.agg(F.sum(F.size("__limits"))).first()[0] or 0) <= BROADCAST_LIMITS:
+        limits = F.broadcast(limits)
+    passed = F.filter("__limits", lambda limit: limit["from"] <= own("__hash"))
+    texts = (
+        file_rows(docs).withColumns({"__file": F.xxhash64("__path"), "__hash": _hash(seed)})
+        .join(limits, F.col("source").eqNullSafe(F.col("__source")) & (range_("__hash") == F.col("__range")))
+        .select(*docs.columns, "__file", "__row", F.array_max(F.transform(passed, lambda limit: limit["__to"])).alias("__to"),
+                F.lit(None).cast("long").alias("__position"))
+    )
+    positions = where.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema], "__file", "__row", "__to",
+        F.col("position").alias("__position"))
+    return (
+        texts.withColumn("__text", F.lit(True)).unionByName(positions.withColumn("__text", F.lit(False)))
+        .repartitionById(files, "__to")
+        .withColumn("__position", F.max("__position").over(Window.partitionBy("__to", "__file", "__row")))
+        .where("__text").sortWithinPartitions("__position").select(*docs.columns)
+    )

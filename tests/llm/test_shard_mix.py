@@ -176,3 +176,30 @@ def test_mixed_order_is_the_row_order(spark, docs, tmp_path):
     files = sorted(p for p in (tmp_path / "m").iterdir() if p.name.startswith("part"))
     ids = [r.doc_id for f in files for r in spark.read.parquet(str(f)).collect()]
     assert [position[i] for i in ids] == list(range(500))
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 18])
+def test_mixed_order_moves_texts_once(spark, docs, tmp_path, monkeypatch, broadcast):
+    """Rows that differ only beside id and text, null sources and ids: all stay, in order, over several files."""
+    monkeypatch.setattr(mix, "BROADCAST_LIMITS", broadcast)
+    monkeypatch.setattr(mix, "FILE_BYTES", 300)
+    rows = [(i if i % 50 else None, f"text {i}", "en", (None, "a", "b", "c", "c")[i % 5]) for i in range(400)]
+    rows += [(7, "same", f"l{i % 3}", "a") for i in range(60)] + [(8, None, "en", "b")] * 5
+    docs(rows).repartition(3).write.parquet(str(tmp_path / "in"))
+    table = spark.read.parquet(str(tmp_path / "in"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        out = mix.in_mixed_order(table, block=4)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert plan.count("Exchange shufflepartitionidpassthrough") == 1 and "rangepartitioning" not in plan
+    assert ("Exchange hashpartitioning" not in plan) == bool(broadcast)
+    out.write.parquet(str(tmp_path / "m"))
+    names = sorted(p for p in (tmp_path / "m").iterdir() if p.name.startswith("part"))
+    assert len(names) > 5
+    found = [r for f in names for r in spark.read.parquet(str(f)).collect()]
+    wanted = [r for r in sorted(mix.mixed(table, block=4).collect(), key=lambda r: r.position)]
+    assert [tuple(r) for r in found] == [tuple(r)[:5] for r in wanted]
