@@ -10,7 +10,7 @@ are exact and a tree does not depend on how rows are dealt out.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 from functools import cached_property
 
@@ -106,6 +106,31 @@ def _block(x: np.ndarray, label: np.ndarray, score: np.ndarray) -> pa.RecordBatc
         [pa.array([v.tobytes()], pa.binary()) for v in (x, label, score)], ["bins", "label", "score"])
 
 
+def vectors_of(column: pa.Array, width: int) -> np.ndarray:
+    """An Arrow column of lists of ``width`` numbers as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(column), width)
+
+
+def add_up(total: np.ndarray, slot: np.ndarray, x: np.ndarray, bins: int, values: Sequence[np.ndarray | None]) -> None:
+    """Add rows to ``total``, [value, feature, slot * bins + bin]; None counts them. A feature at a time,
+    so that the cells in use stay in the processor's cache."""
+    values = [v if v is None else v.astype(float) for v in values]
+    start = slot * bins
+    first = int(start.min()) if len(start) else 0
+    start -= first
+    for f, own in enumerate(np.ascontiguousarray(x.T)):
+        cell = start + own
+        for row, value in enumerate(values):
+            found = np.bincount(cell, value)
+            total[row, f, first : first + len(found)] += found.astype(np.int64)
+
+
+def by_slot(total: np.ndarray, bins: int) -> np.ndarray:
+    """What ``add_up`` has summed, as [value, slot, feature * bins + bin]."""
+    values, width, _ = total.shape
+    return total.reshape(values, width, -1, bins).swapaxes(1, 2).reshape(values, -1, width * bins)
+
+
 def sums_batch(total: np.ndarray) -> pa.RecordBatch:
     """The cells with rows of ``total``, [(label, rows), slot, cell], a line a slot."""
     slot, cell = np.nonzero(total[1])
@@ -173,17 +198,15 @@ def _best(table: DataFrame, width: int, bins: int, now: Tree, nodes: list[int],
     place[nodes] = np.arange(len(nodes))
 
     def add(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
-        total = np.zeros((2, len(nodes) * width * bins), np.int64)
+        total = np.zeros((2, width, len(nodes) * bins), np.int64)
         for x, label, score in _blocks(batches, width):
             gradient = np.rint((score - label) * ONE)
             at = place[now.leaf_of(x)]
             if (at < 0).any():
                 own = at >= 0
                 x, gradient, at = x[own], gradient[own], at[own]
-            cell = ((at[:, None] * width + np.arange(width)) * bins + x).ravel()
-            total[0] += np.bincount(cell, np.repeat(gradient, width), total.shape[1]).astype(np.int64)
-            total[1] += np.bincount(cell, minlength=total.shape[1])
-        return sums_batch(total.reshape(2, len(nodes), width * bins))
+            add_up(total, at, x, bins, (gradient, None))
+        return sums_batch(by_slot(total, bins))
 
     def best(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return tuple(map(np.array, zip(*(best_split(own, s) for own in sums))))
@@ -376,7 +399,7 @@ class HistogramBoosting:
             for batch in batches:
                 for start in range(0, batch.num_rows, BLOCK_ROWS):
                     part = batch.slice(start, BLOCK_ROWS)
-                    x = np.stack([np.asarray(v, float) for v in part.column(0).to_pylist()])
+                    x = vectors_of(part.column(0), width)
                     yield _block(to_bins(x, edges), part.column(1).to_numpy(), np.full(part.num_rows, float(base)))
 
         spread = in_tasks(rows.select(vector_to_array("features").alias("x"), "label"), -(-n // TASK_ROWS))

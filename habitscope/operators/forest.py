@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from habitscope.operators.boost import (
-    BoostedModel, Tree, best_of_slots, in_tasks, quantile_edges, sums_batch, to_bins)
+    BoostedModel, Tree, add_up, best_of_slots, by_slot, in_tasks, quantile_edges, sums_batch, to_bins, vectors_of)
 from habitscope.sources.scratch import settled
 
 #: A draw of 16 bits that reaches k of these gives a row the weight k: Poisson(1), at most 7.
@@ -60,13 +60,12 @@ def best_splits(sums: np.ndarray, min_rows: int) -> tuple[np.ndarray, np.ndarray
 def _best(table: DataFrame, width: int, bins: int, trees: dict[int, Tree], nodes: list[tuple[int, int]],
           min_rows: int, tasks: int) -> list[tuple]:
     """The best splits of the given (tree, node) pairs."""
-    cells = width * bins
     places: dict[int, np.ndarray] = {}
     for slot, (t, node) in enumerate(nodes):
         places.setdefault(t, np.full(len(trees[t].feature), -1, np.int64))[node] = slot
 
     def add(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
-        total = np.zeros((2, len(nodes) * cells), np.int64)
+        total = np.zeros((2, width, len(nodes) * bins), np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
@@ -79,13 +78,9 @@ def _best(table: DataFrame, width: int, bins: int, trees: dict[int, Tree], nodes
                     own, slot = own[slot >= 0], slot[slot >= 0]
                     if not len(own):
                         continue
-                    first = int(slot.min()) * cells
-                    cell = ((slot[:, None] * width + np.arange(width)) * bins + x[own]).ravel() - first
                     w = weights[own, t].astype(np.int64)
-                    for row, values in enumerate((label[own] * w, w)):
-                        found = np.bincount(cell, np.repeat(values, width))
-                        total[row, first : first + len(found)] += found.astype(np.int64)
-        return sums_batch(total.reshape(2, len(nodes), cells))
+                    add_up(total, slot, x[own], bins, (label[own] * w, w))
+        return sums_batch(by_slot(total, bins))
 
     return best_of_slots(table, add, lambda sums: best_splits(sums, min_rows), len(nodes), width, bins, tasks, FEW_TASKS)
 
@@ -146,7 +141,7 @@ class BaggedForest:
 
         def bin_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in batches:
-                x = np.array(part.column(0).to_pylist(), float).reshape(part.num_rows, width)
+                x = vectors_of(part.column(0), width)
                 drawn = np.frombuffer(b"".join(part.column(2).to_pylist()), ">u2").reshape(part.num_rows, -1)[:, :count]
                 weights = np.searchsorted(CUTS, drawn, "right").astype(np.uint8)
                 whole = np.rint((part.column(1).to_numpy() - base) * unit).astype(np.int64)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from threading import Lock
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
@@ -106,12 +107,14 @@ class SharedMoments:
     def __init__(self, train: DataFrame, features: str, label: str):
         self.train, self.features, self.label = train, features, label
         self._found: Moments | None = None
+        self._lock = Lock()
 
     def of(self, df: DataFrame) -> Moments:
         if df is not self.train:
             return moments(df, self.features, self.label)
-        if self._found is None:
-            self._found = moments(df, self.features, self.label)
+        with self._lock:  # fits that run at the same time wait for the one scan
+            if self._found is None:
+                self._found = moments(df, self.features, self.label)
         return self._found
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from habitscope.operators.boost import HistogramBoosting, Settings
 from habitscope.operators.forest import BaggedForest
@@ -64,8 +67,16 @@ def seven_regressors(
     }
 
 
+def at_once(spark: SparkSession, fits: Mapping[str, Callable[[], Model]]) -> dict[str, Model]:
+    """The models of fits that do not need each other, each begun in a thread of its own. A fit of
+    trees is hundreds of small jobs: while one is planned, the cores work on those of other fits."""
+    with ThreadPoolExecutor(max(len(fits), 1)) as pool:
+        begun = {name: pool.submit(inheritable_thread_target(spark)(fit)) for name, fit in fits.items()}
+        return {name: future.result() for name, future in begun.items()}
+
+
 def fit_all(train: DataFrame, estimators: Mapping[str, Estimator]) -> dict[str, Model]:
-    return {name: estimator.fit(train) for name, estimator in estimators.items()}
+    return at_once(train.sparkSession, {name: partial(estimator.fit, train) for name, estimator in estimators.items()})
 
 
 def predict_all(models: Mapping[str, Model], df: DataFrame, keep: Sequence[str]) -> DataFrame:

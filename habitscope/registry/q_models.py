@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -114,7 +114,6 @@ def _line_up(spark, sf_dir, mark: int):
 
 @lru_cache(maxsize=14)
 def _model(spark, sf_dir, mark: int, name: str):
-    use_checkpoints(spark)
     return _line_up(spark, sf_dir, mark)[name].fit(_vectors(spark, sf_dir, mark).train)
 
 
@@ -128,9 +127,13 @@ def shared_line_up(spark, sf_dir):
 
 def fitted(spark, sf_dir, *names: str):
     """(vectors, models) for the named members of the line-up. The queries of a session
-    share vectors and fits as long as the tables' files stay the same."""
+    share vectors and fits as long as the tables' files stay the same. Fits not yet made run
+    at the same time."""
     mark = files_mark(spark, sf_dir)
-    return _vectors(spark, sf_dir, mark), {n: _model(spark, sf_dir, mark, n) for n in names}
+    use_checkpoints(spark)
+    _line_up(spark, sf_dir, mark)
+    return _vectors(spark, sf_dir, mark), regress.at_once(
+        spark, {n: partial(_model, spark, sf_dir, mark, n) for n in names})
 
 
 def prediction_query(key: str, name: str):

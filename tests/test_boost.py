@@ -147,3 +147,16 @@ def test_leaves_and_contributions_of_a_lopsided_tree():
     assert tree.leaf_of(x[:0]).tolist() == []
     model = boost.BoostedModel(10.0, [tree], [np.arange(5.0), np.arange(10.0)])
     assert model.parts(x.astype(float)).tolist() == [[0, -1, 12], [-1, 1, 12], [-1, 1, 12], [1, 1, 12]]
+
+
+def test_sums_by_feature_are_those_by_slot():
+    rng = np.random.default_rng(3)
+    x, slot, g = rng.integers(0, 5, (200, 3)).astype(np.uint8), rng.integers(2, 4, 200), rng.integers(-2**40, 2**40, 200)
+    total = np.zeros((2, 3, 6 * 5), np.int64)
+    for part in (slice(0, 150), slice(150, 200), slice(0, 0)):
+        boost.add_up(total, slot[part], x[part], 5, (g[part], None))
+    wanted = np.zeros((2, 6, 15), np.int64)
+    for row in range(200):
+        for f in range(3):
+            wanted[:, slot[row], f * 5 + x[row, f]] += g[row], 1
+    assert np.array_equal(boost.by_slot(total, 5), wanted)
